@@ -18,12 +18,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelsift.ship import ship
+
 #: Rows in an Arrow batch handed to Python; long texts stay bounded in memory.
 ARROW_ROWS = 1000
 
 
 def tune(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session."""
+    """Bounds the Arrow batches of this session and hands our modules to executors."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
