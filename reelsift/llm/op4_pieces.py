@@ -139,6 +139,22 @@ class Model:
         return out
 
 
+class _Runs(dict):
+    """Results by run, remembered up to a bound."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, run: str) -> tuple:
+        got = self.make(run)
+        if len(run) <= 64:
+            if len(self) >= LIMIT:
+                self.clear()
+            self[run] = got
+        return got
+
+
 class Codec:
     """Encoder and decoder of one model; remembers runs up to a bound."""
 
@@ -150,20 +166,45 @@ class Codec:
         self.bytes_ = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == BYTE}
         self.values = {i: b for b, i in self.bytes_.items()}
         self.texts = ["" if k == CONTROL else " ⁇ " if k == UNKNOWN else p.replace(MARK, " ") for p, k in zip(model.pieces, model.kinds)]
-        self.known: dict[str, tuple] = {}
+        order = sorted({model.scores[i] for i in model.ids.values()}, reverse=True)
+        place = {x: r for r, x in enumerate(order)}
+        self.rank = {p: place[model.scores[i]] for p, i in model.ids.items()}
+        self.never = len(order)
+        self.sizes = [len(p.encode("utf-8", "surrogatepass")) for p in model.pieces]
+        self.said = [str(i) for i in range(len(model.pieces))]
+        self.known = _Runs(self.of_run)
 
     def merged(self, run: str) -> list[str]:
         """Best-score merges of adjacent symbols, leftmost of equal ones first."""
+        if len(run) > 48:
+            return self._merged_long(run)
+        rank, never = self.rank.get, self.never
+        sym = list(run)
+        pair = [rank(x + y, never) for x, y in zip(sym, sym[1:])]
+        while pair:
+            best = min(pair)
+            if best == never:
+                break
+            i = pair.index(best)
+            sym[i] += sym.pop(i + 1)
+            del pair[i]
+            if i < len(pair):
+                pair[i] = rank(sym[i] + sym[i + 1], never)
+            if i:
+                pair[i - 1] = rank(sym[i - 1] + sym[i], never)
+        return sym
+
+    def _merged_long(self, run: str) -> list[str]:
+        """The same with a heap, for runs of any length."""
         sym: list[str] = list(run)
         n = len(sym)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[float, int, int, str]] = []
-        ids, scores = self.m.ids, self.m.scores
+        heap: list[tuple[int, int, int, str]] = []
 
         def offer(a: int, b: int) -> None:
             both = sym[a] + sym[b]
-            if (i := ids.get(both)) is not None:
-                heapq.heappush(heap, (-scores[i], a, b, both))
+            if (r := self.rank.get(both)) is not None:
+                heapq.heappush(heap, (r, a, b, both))
 
         for a in range(n - 1):
             offer(a, a + 1)
@@ -182,25 +223,16 @@ class Codec:
 
     def of_run(self, run: str) -> tuple[tuple[int, ...], tuple[int, ...], str]:
         """Ids of a normalised run, their lengths in normalised bytes, and the ids as text."""
-        if (got := self.known.get(run)) is None:
-            ids, sizes = [], []
-            for s in self.merged(run):
-                if (i := self.m.ids.get(s)) is not None:
-                    ids.append(i)
-                    sizes.append(len(s.encode("utf-8", "surrogatepass")))
-                elif self.bytes_:
-                    raw = s.encode("utf-8", "surrogatepass")
-                    ids += [self.bytes_[b] for b in raw]
-                    sizes += [1] * len(raw)
-                else:
-                    ids.append(self.m.unk)
-                    sizes.append(len(s.encode("utf-8", "surrogatepass")))
-            got = (tuple(ids), tuple(sizes), " ".join(map(str, ids)))
-            if len(run) <= 64:
-                if len(self.known) >= LIMIT:
-                    self.known.clear()
-                self.known[run] = got
-        return got
+        ids, sizes = [], []
+        for s in self.merged(run):
+            if (i := self.m.ids.get(s)) is not None:
+                ids.append(i)
+                sizes.append(self.sizes[i])
+            else:
+                raw = s.encode("utf-8", "surrogatepass")
+                ids += [self.bytes_[b] for b in raw] if self.bytes_ else [self.m.unk]
+                sizes += [1] * len(raw) if self.bytes_ else [len(raw)]
+        return tuple(ids), tuple(sizes), " ".join([self.said[i] for i in ids])
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text and, for each of its bytes and its end, the source offset."""
@@ -253,7 +285,7 @@ class Codec:
     def encode(self, text: str | None, end: bool = True) -> tuple[list[int], np.ndarray, str]:
         """Ids, their (n, 2) spans of source bytes (the end id's is empty), ids as text."""
         norm, align = self.normalised(text or "")
-        runs = [self.of_run(r) for r in self._RUNS.findall(norm)]
+        runs = list(map(self.known.__getitem__, self._RUNS.findall(norm)))
         ids = list(chain.from_iterable(r[0] for r in runs))
         cuts = np.fromiter(accumulate(chain.from_iterable(r[1] for r in runs), initial=0), np.int64, len(ids) + 1)
         bounds = align[cuts]
