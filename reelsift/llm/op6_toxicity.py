@@ -31,9 +31,9 @@ WINDOW, STRIDE = 24, 16
 HIDDEN, ATTENTION, EMBED = 8, 8, 4
 BUCKETS, ODDS_BUCKETS = 1 << 15, 1 << 18
 GRAM_SIZES = (3, 4, 5)
-#: Most labelled documents of a class to learn from, those of the smallest id hashes.
-SAMPLE = 2000
-EPOCHS, BATCH, RATE = 14, 256, 0.01
+#: Most clean and toxic labelled documents to learn from, those of the smallest id hashes.
+SAMPLE = (5000, 2000)
+EPOCHS, BATCH, RATE = 10, 256, 0.01
 #: Words a worker remembers.
 WORDS = 150_000
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -378,11 +378,11 @@ class Scorer:
         out[[i for i, _ in group]] = _sigmoid(self.m.slope * best.astype(float) + self.m.shift)
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """From (doc_id, text, toxic): at most ``sample`` documents of a class."""
+def fit(labelled: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model | None:
+    """From (doc_id, text, toxic): at most ``sample`` documents of each class."""
     rows = []
     for y in (0, 1):
-        rows += [(r["text"], y) for r in labelled.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text").collect()]
+        rows += [(r["text"], y) for r in labelled.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[y]).select("text").collect()]
     toxic = np.array([y for _, y in rows])
     if len(set(toxic.tolist())) < 2:
         return None
