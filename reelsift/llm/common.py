@@ -129,6 +129,30 @@ def rolling(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(acc)
 
 
+#: Most 64-bit words of the bitmap below; its broadcast stays within some 20 MB.
+BITMAP_WORDS = 1 << 20
+
+
+def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``column`` may be among the written one-column table ``ids``.
+
+    A bitmap of hashed ids, of at most ``BITMAP_WORDS`` words whatever the input,
+    is broadcast so that most other rows never reach a shuffle.  It only thins
+    out: an exact join on the same column has to follow, and a full bitmap merely
+    lets more rows through.
+    """
+    spark = rows.sparkSession
+    (key,) = ids.columns
+    words = 1024
+    while words < BITMAP_WORDS and words < ids.count():
+        words *= 2
+    word = lambda c: F.pmod(F.xxhash64(c), F.lit(words))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(F.xxhash64(c), 32), F.lit(64)).cast("int"))
+    got = ids.select(word(key).alias("w"), bit(key).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    bitmap = spark.createDataFrame([(r["w"], r["b"]) for r in got], "__w long, __b long")
+    return rows.join(F.broadcast(bitmap), (word(column) == F.col("__w")) & (F.col("__b").bitwiseAND(bit(column)) != 0), "left_semi")
+
+
 def connected_components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     """(id, comp) for the ends of ``links`` (a, b): comp is the smallest id reachable.
 

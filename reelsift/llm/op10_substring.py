@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import Scratch, WordHash, raw_words, read_table, rolling
+from reelsift.llm.common import Scratch, WordHash, maybe_in, raw_words, read_table, rolling
 
 WINDOW = 50
 ANCHOR = 8
@@ -221,7 +221,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     runs = whole.join(firsts, "sha").filter("doc_id = first").dropDuplicates(["sha"]).select(F.col("doc_id").alias("doc"), "tag", F.explode(F.arrays_zip("key", "lo", "hi")).alias("r")).select("doc", "tag", "r.*")
     shared = runs.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.sum(F.col("hi") - F.col("lo") + WINDOW).alias("size")).filter("a < b").select("key", (F.col("size") > GROUP_WORDS).alias("deep"))
     live = runs.join(shared, "key").groupBy("doc", "tag").agg(F.collect_list(F.struct("key", "lo", "hi", "deep")).alias("runs"))
-    flagged = t.cut(live.join(docs.withColumnRenamed("doc_id", "doc"), "doc").select("doc", "tag", "text", "runs"), "flagged")
+    live = t.cut(live, "live")
+    ids = t.cut(live.select("doc").distinct(), "ids")
+    texts = maybe_in(docs.withColumnRenamed("doc_id", "doc"), "doc", ids)
+    flagged = t.cut(live.join(texts, "doc").select("doc", "tag", "text", "runs"), "flagged")
     segments = t.cut(flagged.mapInArrow(_segments, _SEGMENT), "segments")
 
     trees = segments.filter("not deep").select("key", "doc", "tag", "lo", "hi", "words").repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees, "doc long, tag long, lo long, hi long")
@@ -231,7 +234,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     spans = t.cut(trees.union(deep), "spans")
     t.drop("segments")
     spans = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    texts = flagged.select("doc", "tag", "text").join(spans, ["doc", "tag"])
+    spans = t.cut(spans, "lost-spans")
+    ids = t.cut(spans.select("doc").distinct(), "lost-ids")
+    texts = maybe_in(flagged.select("doc", "tag", "text"), "doc", ids).join(spans, ["doc", "tag"])
     lost = t.cut(texts.mapInArrow(_without, "doc long, tag long, n_removed long, kept_sha256 string").dropDuplicates(["doc", "tag"]), "lost")
     t.drop("flagged", "spans")
 
