@@ -3,9 +3,9 @@
 1. Every text becomes its set of hashed 5-word shingles and one sketch: shingles
    fall into buckets, and a bucket keeps of its smallest hash only the number of
    leading zeros and some mantissa bits.
-2. Texts with equal word sequences collapse to the row of the smallest id.
-3. Empty buckets are filled by a fixed probing order (for banding alone) and the
+2. Empty buckets are filled by a fixed probing order (for banding alone) and the
    registers are cut into bands; a shared band makes a candidate.
+3. Texts with equal word sequences are one node, of the smallest id.
 4. Within a band's bucket each row meets one hub instead of every other row; what
    stays unconnected meets the rest of its bucket in blocks, inside one Python
    function that keeps only pairs whose collision-corrected estimate is close.
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift.llm.common import Scratch, WordHash, connected_components, lower_words, mix64, read_table, rolling
+from reelsift.llm.common import Scratch, WordHash, connected_components, lower_words, maybe_in, mix64, read_table, rolling
 
 SHINGLE = 5
 REGISTERS = 480
@@ -127,22 +127,23 @@ def estimate(a: np.ndarray, b: np.ndarray, na, nb) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHash()
     for b in batches:
-        key, n, regs = [], [], []
+        key, kid, n, regs = [], [], [], []
         for text in b.column("text").to_pylist():
             words = lower_words(text)
             sh = shingles(words, hashes)
             key.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+            kid.append(int.from_bytes(key[-1][:8], "little", signed=True) if words else None)
             n.append(len(sh))
             regs.append(registers(sh).tobytes() if words else None)
-        yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "key": pa.array(key, pa.binary()), "n": pa.array(n, pa.int64()), "regs": pa.array(regs, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "key": pa.array(key, pa.binary()), "kid": pa.array(kid, pa.int64()), "n": pa.array(n, pa.int64()), "regs": pa.array(regs, pa.binary())})
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids = b.column("id").to_numpy(zero_copy_only=False)
+        ids = b.column("kid").to_numpy(zero_copy_only=False)
         if len(ids):
             keys = np.concatenate([band_keys(np.frombuffer(r, np.uint16)) for r in b.column("regs").to_pylist()])
-            yield pa.RecordBatch.from_pydict({"band": pa.array(keys.view(np.int64)), "id": pa.array(np.repeat(ids, BANDS))})
+            yield pa.RecordBatch.from_pydict({"band": pa.array(keys.view(np.int64)), "kid": pa.array(np.repeat(ids, BANDS))})
 
 
 def _close(threshold: float):
@@ -247,8 +248,8 @@ class NearDuplicates:
 
     def confirmed(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the written pairs that the full sets confirm, written."""
-        ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        texts = self.docs.join(ends, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"))
+        ends = self.t.cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), f"{name}-ends")
+        texts = maybe_in(self.docs, "doc_id", ends).join(ends, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text"))
         texts = self.t.cut(texts, f"{name}-texts")
         both = pairs.select("a", "b").join(texts.withColumnsRenamed({"doc_id": "b", "text": "tb"}), "b").join(texts.withColumnsRenamed({"doc_id": "a", "text": "ta"}), "a")
         out = self.t.cut(both.select("a", "b", "ta", "tb").mapInArrow(_confirm(self.percent), "a long, b long, ok boolean").filter("ok").select("a", "b"), f"{name}-links")
@@ -263,16 +264,20 @@ class NearDuplicates:
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) of every row."""
         t = self.t
-        sketches = t.cut(self.docs.mapInArrow(_sketch, "doc_id long, key binary, n long, regs binary"), "sketches")
-        reps = sketches.filter("key is not null and doc_id is not null").groupBy("key").agg(F.min(F.struct("doc_id", "n", "regs")).alias("r"))
-        self.reps = t.cut(reps.select("key", F.col("r.doc_id").alias("id"), "r.n", "r.regs"), "reps")
-        bands = t.cut(self.reps.select("id", "regs").mapInArrow(_bands, "band long, id long"), "bands")
-        shared = bands.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("band", "size")
-        live = t.cut(bands.join(shared, "band"), "live")
+        sketches = t.cut(self.docs.mapInArrow(_sketch, "doc_id long, key binary, kid long, n long, regs binary"), "sketches")
+        whole = sketches.filter("key is not null and doc_id is not null")
+        bands = t.cut(whole.select("kid", "regs").mapInArrow(_bands, "band long, kid long"), "bands")
+        shared = bands.groupBy("band").agg(F.min("kid").alias("lo"), F.max("kid").alias("hi")).filter("lo < hi").select("band")
+        live = t.cut(bands.join(shared, "band").distinct(), "live")
         t.drop("bands")
-        weights = live.groupBy("id").agg(F.sum("size").alias("weight"))
+        kids = t.cut(live.select("kid").distinct(), "kids")
+        # One node a word sequence: kid is a short hash, so that equal ones of different keys stay apart here.
+        nodes = maybe_in(whole, "kid", kids).join(kids, "kid").groupBy("kid", "key").agg(F.min(F.struct("doc_id", "n", "regs")).alias("r"))
+        self.reps = t.cut(nodes.select("kid", F.col("r.doc_id").alias("id"), "r.n", "r.regs"), "nodes")
+        live = live.join(self.reps.select("kid", "id"), "kid").select("band", "id")
+        sizes = live.groupBy("band").agg(F.count("*").alias("size"))
+        weights = live.join(sizes, "band").groupBy("id").agg(F.sum("size").alias("weight"))
         live = t.cut(live.join(weights, "id").select("band", "id", "weight"), "weighted")
-        t.drop("live")
 
         comps, links, tried = None, None, None
         for turn in range(HUB_ROUNDS):
@@ -293,7 +298,8 @@ class NearDuplicates:
             comps = connected_components(t, links, f"comps{turn}")
 
         links, comps = self.rest(live, links, comps)
-        classes = self.with_components(self.reps.select("key", "id"), comps).select("key", "comp")
+        firsts = whole.groupBy("key").agg(F.min("doc_id").alias("id"))
+        classes = self.with_components(firsts, comps).select("key", "comp")
         out = sketches.select("doc_id", "key", F.col("n").alias("n_shingles")).join(classes, "key", "left")
         return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
