@@ -37,6 +37,8 @@ WINDOW = 50
 ANCHOR = 8
 #: Words of one group that a subtree may hold; larger groups take full-depth prefixes.
 GROUP_WORDS = 200_000
+#: Parts that the rows of one full-depth prefix are dealt into.
+SALTS = 16
 #: Words ranked at once by a task (whole groups).
 TASK_WORDS = 500_000
 
@@ -230,7 +232,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     trees = segments.filter("not deep").select("key", "doc", "tag", "lo", "hi", "words").repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees, "doc long, tag long, lo long, hi long")
     deep = segments.filter("deep").select("key", "doc", "tag", "lo")
     nodes = deep.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("key", "low")
-    deep = deep.join(nodes, "key").filter("doc > low").select("doc", "tag", "lo", (F.col("lo") + WINDOW).alias("hi"))
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))  # a common passage is one key; its rows spread over salts
+    deep = deep.withColumn("salt", F.pmod(F.col("doc"), F.lit(SALTS)).cast("int")).join(nodes.withColumn("salt", F.explode(salts)), ["key", "salt"]).filter("doc > low").select("doc", "tag", "lo", (F.col("lo") + WINDOW).alias("hi"))
     spans = t.cut(trees.union(deep), "spans")
     t.drop("segments")
     spans = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
