@@ -118,6 +118,7 @@ class Model:
     unk: int = 0
     end: int = 2
     ids: dict[str, int] = field(default_factory=dict)
+    digest: str = ""
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -125,13 +126,15 @@ class Model:
 
         proto = pb.ModelProto()
         with open(path, "rb") as f:
-            proto.ParseFromString(f.read())
+            blob = f.read()
+        proto.ParseFromString(blob)
         norm, spec = proto.normalizer_spec, proto.trainer_spec
         if spec.model_type != 2 or spec.treat_whitespace_as_suffix or not norm.escape_whitespaces:
             raise ValueError("only byte-pair models with marks before words are supported")
         p = proto.pieces
         kinds = [x.type for x in p]
         out = cls([x.piece for x in p], kinds, [x.score for x in p], norm.precompiled_charsmap, norm.add_dummy_prefix, norm.remove_extra_whitespaces, kinds.index(UNKNOWN))
+        out.digest = hashlib.sha256(blob).hexdigest()
         out.end = next((i for i, x in enumerate(p) if x.piece == "</s>" and x.type == CONTROL), out.unk)
         if any(MARK in x.piece.lstrip(MARK) for x in p if x.type == NORMAL) or any(k == USER for k in kinds):
             raise ValueError("a piece crosses a word mark or is user-defined")
@@ -339,7 +342,8 @@ class Codec:
             return "".join(out)
 
 
-_codecs: dict[int, Codec] = {}
+#: A worker's codecs by the digest of their model file.
+_codecs: dict[str, Codec] = {}
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -348,8 +352,10 @@ def tokenised(spark: SparkSession, docs: DataFrame, path: str | None = None) ->
     box = spark.sparkContext.broadcast(Model.load(path or default_model()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codecs.setdefault(box.id, None) or Codec(box.value)
-        _codecs[box.id] = codec
+        model = box.value
+        if model.digest not in _codecs:
+            _codecs[model.digest] = Codec(model)
+        codec = _codecs[model.digest]
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for b in batches:
             n, a, d, s = [], [], [], []
