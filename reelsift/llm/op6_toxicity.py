@@ -32,8 +32,10 @@ HIDDEN, ATTENTION, EMBED = 8, 8, 4
 BUCKETS, ODDS_BUCKETS = 1 << 15, 1 << 18
 GRAM_SIZES = (3, 4, 5)
 #: Most clean and toxic labelled documents to learn from, those of the smallest id hashes.
-SAMPLE = (5000, 2000)
+SAMPLE = (3500, 1500)
 EPOCHS, BATCH, RATE = 10, 256, 0.01
+#: Windows of a training document that may teach, those of the largest log-odds.
+BAG = 8
 #: Words a worker remembers.
 WORDS = 150_000
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -52,7 +54,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all grams of ``^word$`` and the word each belongs to."""
     data = np.frombuffer(b"\x01" + b"\x02\x01".join(words) + b"\x02", np.uint8)
-    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) + 2 for w in words])
     hashes, owners = [], []
     for k in GRAM_SIZES:
         n = len(data) - k + 1
@@ -218,7 +220,7 @@ class Inputs:
         np.maximum.at(top, owner, lo)
         mean = np.bincount(owner, lo, len(words)) / np.bincount(owner, minlength=len(words))
         fixed = np.stack([self.odds.word[(h % np.uint64(ODDS_BUCKETS)).astype(np.int64)], top, mean], axis=1).astype(np.float32)
-        return fixed, (h >> np.uint64(20)).astype(np.int64) % BUCKETS, (grams >> np.uint64(20)).astype(np.int64) % BUCKETS, owner
+        return fixed, (h >> np.uint64(20)).astype(np.int64) % BUCKETS, ((grams >> np.uint64(20)) % np.uint64(BUCKETS)).astype(np.int32), owner
 
 
 def windows(n: int) -> np.ndarray:
@@ -268,12 +270,20 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     keep = [i for i, d in enumerate(docs) if d]
     docs, toxic = [docs[i] for i in keep], toxic[keep]
     odds = Odds.fit(docs, toxic)
+    bags: list[list[list[bytes]]] = []
+    for at in range(0, len(docs), 100):  # a few documents' words at a time
+        seen, part = Inputs(odds), docs[at : at + 100]
+        rows = [window_rows(seen.index(d)) for d in part]
+        fixed = np.concatenate([np.zeros((1, _FIXED), np.float32), seen.take()[0]])
+        for d, r in zip(part, rows):
+            rank = fixed[r][..., :2].max(-1).max(-1) + 0.1 * fixed[r][..., 0].sum(-1)
+            best = np.sort(np.argsort(-rank, kind="stable")[:BAG])
+            bags.append([d[s : s + WINDOW] for s in windows(len(d))[best]])
     inputs, net, rng = Inputs(odds), Network(seed), np.random.default_rng(seed)
-    rows = [window_rows(inputs.index(d)) for d in docs]
+    rows = np.concatenate([window_rows(inputs.index(w)) for bag in bags for w in bag])
     part = inputs.take()
     fixed, wb, gb, owner = part
-    heads = np.cumsum([0, *(len(r) for r in rows)])[:-1]
-    rows = np.concatenate(rows)
+    heads = np.cumsum([0, *(len(b) for b in bags)])[:-1]
     moments: dict = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     pad = lambda x: np.concatenate([np.zeros((1, DIM), np.float32), x])
@@ -378,23 +388,27 @@ class Scorer:
         out[[i for i, _ in group]] = _sigmoid(self.m.slope * best.astype(float) + self.m.shift)
 
 
-def fit(labelled: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model | None:
-    """From (doc_id, text, toxic): at most ``sample`` documents of each class."""
-    rows = []
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model | None:
+    """From docs (doc_id, text) and labels (doc_id, toxic): at most ``sample`` documents of each class.
+
+    The ids are chosen first; only the texts of the sample reach the driver.
+    """
+    known = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
+    ids = []
     for y in (0, 1):
-        rows += [(r["text"], y) for r in labelled.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[y]).select("text").collect()]
-    toxic = np.array([y for _, y in rows])
-    if len(set(toxic.tolist())) < 2:
+        ids += [(r["doc_id"], y) for r in known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[y]).select("doc_id").collect()]
+    if len({y for _, y in ids}) < 2:
         return None
-    return train([t or "" for t, _ in rows], toxic)
+    chosen = F.broadcast(spark.createDataFrame(ids, "doc_id long, toxic int"))
+    rows = docs.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]))
 
 
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs."""
     tune(spark)
     one = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learn = docs.select("doc_id", "text").filter(~held_out_column() & F.col("text").isNotNull()).join(one, "doc_id")
-    model = fit(learn)
+    model = fit(spark, docs.select("doc_id", "text").filter(~held_out_column() & F.col("text").isNotNull()), one)
     box = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
