@@ -19,7 +19,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import accumulate, chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -78,15 +78,16 @@ def compile_map(rules: dict[bytes, bytes]) -> bytes:
         values[k] = len(strings)
         strings += v + b"\0"
     units: dict[int, int] = {0: 0}
-    taken = {0}
+    taken, bases = {0}, set()
 
     def place(node: int, prefix: bytes, keys: list[bytes]) -> None:
         heads: dict[int, list[bytes]] = {}
         for k in keys:
             heads.setdefault(k[len(prefix)] if len(k) > len(prefix) else 0, []).append(k)
         base = 1
-        while any((base ^ c) in taken for c in heads):
+        while base in bases or any((base ^ c) in taken for c in heads):  # no two nodes share a base, or labels would mix
             base += 1
+        bases.add(base)
         taken.update(base ^ c for c in heads)
         units[node] |= (node ^ base) << 10
         for c, ks in heads.items():
@@ -119,6 +120,7 @@ class Model:
     end: int = 2
     ids: dict[str, int] = field(default_factory=dict)
     digest: str = ""
+    blob: bytes = b""
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -134,7 +136,7 @@ class Model:
         p = proto.pieces
         kinds = [x.type for x in p]
         out = cls([x.piece for x in p], kinds, [x.score for x in p], norm.precompiled_charsmap, norm.add_dummy_prefix, norm.remove_extra_whitespaces, kinds.index(UNKNOWN))
-        out.digest = hashlib.sha256(blob).hexdigest()
+        out.digest, out.blob = hashlib.sha256(blob).hexdigest(), blob
         out.end = next((i for i, x in enumerate(p) if x.piece == "</s>" and x.type == CONTROL), out.unk)
         if any(MARK in x.piece.lstrip(MARK) for x in p if x.type == NORMAL) or any(k == USER for k in kinds):
             raise ValueError("a piece crosses a word mark or is user-defined")
@@ -173,9 +175,35 @@ class Codec:
         place = {x: r for r, x in enumerate(order)}
         self.rank = {p: place[model.scores[i]] for p, i in model.ids.items()}
         self.never = len(order)
-        self.sizes = [len(p.encode("utf-8", "surrogatepass")) for p in model.pieces]
+        self.sizes = [1 if k == BYTE else len(p.encode("utf-8", "surrogatepass")) for p, k in zip(model.pieces, model.kinds)]
+        self.size_of = np.array(self.sizes, np.int64)
         self.said = [str(i) for i in range(len(model.pieces))]
         self.known = _Runs(self.of_run)
+        self.library = None
+
+    def with_library(self) -> Codec:
+        """Lets the sentencepiece library do the merges of ``batch``, some texts at a time.
+
+        Its results are those of ``merged``; normalisation, alignment, projection
+        and decoding stay here.
+        """
+        if self.bytes_ and not self.map.units and not self.m.squeeze and self.m.dummy_prefix and self.m.blob:
+            import sentencepiece
+
+            self.library = sentencepiece.SentencePieceProcessor(model_proto=self.m.blob)
+        return self
+
+    def batch(self, texts: list[str | None]) -> Iterator[tuple[list[int], np.ndarray, str]]:
+        """``encode`` of some texts; the library merges them in one call."""
+        if self.library is None:
+            yield from map(self.encode, texts)
+            return
+        texts = [t or "" for t in texts]
+        for text, ids in zip(texts, self.library.encode(texts, num_threads=1)):
+            align = self.normalised(text)[1]
+            cuts = np.zeros(len(ids) + 1, np.int64)
+            np.cumsum(self.size_of[np.array(ids, np.int64)], out=cuts[1:])
+            yield self._projected(ids, cuts, align, [self.said[i] for i in ids], True)
 
     def merged(self, run: str) -> list[str]:
         """Best-score merges of adjacent symbols, leftmost of equal ones first."""
@@ -183,18 +211,19 @@ class Codec:
             return self._merged_long(run)
         rank, never = self.rank.get, self.never
         sym = list(run)
-        pair = [rank(x + y, never) for x, y in zip(sym, sym[1:])]
+        pair = [rank(x + y, never) for x, y in pairwise(sym)]
         while pair:
             best = min(pair)
             if best == never:
                 break
             i = pair.index(best)
-            sym[i] += sym.pop(i + 1)
+            both = sym[i] + sym.pop(i + 1)
+            sym[i] = both
             del pair[i]
             if i < len(pair):
-                pair[i] = rank(sym[i] + sym[i + 1], never)
+                pair[i] = rank(both + sym[i + 1], never)
             if i:
-                pair[i - 1] = rank(sym[i - 1] + sym[i], never)
+                pair[i - 1] = rank(sym[i - 1] + both, never)
         return sym
 
     def _merged_long(self, run: str) -> list[str]:
@@ -224,18 +253,22 @@ class Codec:
                 offer(prv[a], a)
         return [s for s in sym if s]
 
-    def of_run(self, run: str) -> tuple[tuple[int, ...], tuple[int, ...], str]:
+    def of_run(self, run: str) -> tuple[list[int], list[int], str]:
         """Ids of a normalised run, their lengths in normalised bytes, and the ids as text."""
-        ids, sizes = [], []
-        for s in self.merged(run):
-            if (i := self.m.ids.get(s)) is not None:
-                ids.append(i)
+        sym = self.merged(run)
+        ids = list(map(self.m.ids.get, sym))
+        if None not in ids:
+            return ids, [self.sizes[i] for i in ids], " ".join([self.said[i] for i in ids])
+        out, sizes = [], []
+        for s, i in zip(sym, ids):
+            if i is not None:
+                out.append(i)
                 sizes.append(self.sizes[i])
             else:
                 raw = s.encode("utf-8", "surrogatepass")
-                ids += [self.bytes_[b] for b in raw] if self.bytes_ else [self.m.unk]
+                out += [self.bytes_[b] for b in raw] if self.bytes_ else [self.m.unk]
                 sizes += [1] * len(raw) if self.bytes_ else [len(raw)]
-        return tuple(ids), tuple(sizes), " ".join([self.said[i] for i in ids])
+        return out, sizes, " ".join([self.said[i] for i in out])
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text and, for each of its bytes and its end, the source offset."""
@@ -289,11 +322,17 @@ class Codec:
         """Ids, their (n, 2) spans of source bytes (the end id's is empty), ids as text."""
         norm, align = self.normalised(text or "")
         runs = list(map(self.known.__getitem__, self._RUNS.findall(norm)))
-        ids = list(chain.from_iterable(r[0] for r in runs))
-        cuts = np.fromiter(accumulate(chain.from_iterable(r[1] for r in runs), initial=0), np.int64, len(ids) + 1)
+        ids = list(chain.from_iterable([r[0] for r in runs]))
+        cuts = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(np.fromiter(chain.from_iterable([r[1] for r in runs]), np.int64, len(ids)), out=cuts[1:])
+        return self._projected(ids, cuts, align, [r[2] for r in runs], end)
+
+    def _projected(self, ids: list[int], cuts: np.ndarray, align: np.ndarray, said: list[str], end: bool) -> tuple[list[int], np.ndarray, str]:
+        """Pieces that end at ``cuts`` of the normalised bytes, as spans of source bytes."""
+        if cuts[-1] != len(align) - 1:
+            raise ValueError("pieces don't cover the normalised text")
         bounds = align[cuts]
         spans = np.stack([bounds[:-1], bounds[1:]], axis=1)
-        said = [r[2] for r in runs]
         if end:
             ids.append(self.m.end)
             spans = np.concatenate([spans, np.full((1, 2), align[-1])])
@@ -354,13 +393,13 @@ def tokenised(spark: SparkSession, docs: DataFrame, path: str | None = None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = box.value
         if model.digest not in _codecs:
-            _codecs[model.digest] = Codec(model)
+            _codecs[model.digest] = Codec(model).with_library()
         codec = _codecs[model.digest]
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for b in batches:
             n, a, d, s = [], [], [], []
-            for text in b.column("text").to_pylist():
-                ids, spans, said = codec.encode(text)
+            texts = b.column("text").to_pylist()
+            for ids, spans, said in chain.from_iterable(codec.batch(texts[i : i + 100]) for i in range(0, len(texts), 100)):
                 n.append(len(ids))
                 a.append(sha(said.encode()))
                 d.append(sha(codec.decode(ids).encode("utf-8", "surrogatepass")))

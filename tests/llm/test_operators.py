@@ -175,8 +175,11 @@ def test_op4_equals_the_library():
     lib, mine = sentencepiece.SentencePieceProcessor(model_file=path), op4_pieces.Codec(op4_pieces.Model.load(path))
     rng = random.Random(4)
     texts = [t for t in ODD if t] + ["".join(rng.choice("ab é▁<s>\n0ü😀\t") for _ in range(rng.randint(0, 80))) for _ in range(300)] + ["abcab" * 40, "<0x41></s>", " "]
-    for t in texts:
+    fast = op4_pieces.Codec(mine.m).with_library()
+    assert fast.library is not None
+    for t, other in zip(texts, fast.batch(texts), strict=True):
         ids, spans, said = mine.encode(t)
+        assert other[0] == ids and (other[1] == spans).all() and other[2] == said
         assert ids == lib.encode(t, add_eos=True) and said == " ".join(map(str, ids)) and mine.decode(ids) == lib.decode(ids)
         raw = t.encode()
         assert b"".join(raw[a:b] for a, b in spans) == raw and (spans[:-1, 1] == spans[1:, 0]).all()
