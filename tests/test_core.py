@@ -218,3 +218,27 @@ def test_entry_and_sql_agree_on_names():
 
     q, o = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(o) <= set(q) and "manifest_summary" in q
+
+
+def test_commands(spark, tmp_path):
+    from reelsift import cli
+
+    rows = [base_row(0, perceptual_hash="0" * 16), base_row(1, perceptual_hash="0" * 15 + "1"), base_row(2, keep=False, reject_reasons=["too_dark"])]
+    p = write_rows(tmp_path / "m.jsonl", rows)
+    cli.dedupe_manifest(spark, p, str(tmp_path / "d"), 2)
+    got = cli.summarize(spark, str(tmp_path / "d"), str(tmp_path / "s.md"))
+    assert (got["total_clips"], got["accepted_clips"], got["duplicate_clips"]) == (3, 1, 1) and "near_duplicate" in (tmp_path / "s.md").read_text()
+
+    def probe(files, n):
+        f = np.zeros((64, 64, 3), np.uint8)
+        f[10:30, 10:30] = 255
+        raw = files.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("frame_pos"))
+        frames = raw.select("clip_id", F.col("frame_pos").cast("long"), F.lit(64).alias("height"), F.lit(64).alias("width"), F.lit(3).alias("nChannels"), F.lit(bytearray(f.tobytes())).alias("data"))
+        meta = files.select("clip_id", F.lit(2.0).alias("duration_sec"), F.lit(24.0).alias("fps"), F.lit(512).alias("width"), F.lit(512).alias("height"), F.lit(48).alias("frame_count"))
+        return frames, meta
+
+    (tmp_path / "v/deep").mkdir(parents=True)
+    for name in ("v/b.MP4", "v/deep/a.webm", "v/no.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    out = cli.process_folder(spark, str(tmp_path / "v"), AppConfig(), probe).collect()
+    assert len(out) == 2 and all(r.reject_reasons == ["too_static"] and len(r.perceptual_hash) == 16 for r in out)
