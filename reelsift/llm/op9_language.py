@@ -2,9 +2,11 @@
 
 Every language gets an order-4 model over 16-bit character units.  Counts of all
 training documents are summed by Spark; the tables are hash arrays in sorted
-order, probed by binary search.  A document goes to the language of the lowest
-cross-entropy per character; it is *rejected* when even that one lies above a
-limit calibrated on training documents kept out of the counts.
+order, probed by binary search.  Beyond ``MAX_GRAMS`` the same model is fitted and
+looked up as tables, by joins; no count is left out either way.  A document goes
+to the language of the lowest cross-entropy per character; it is *rejected* when
+even that one lies above a limit calibrated on training documents kept out of the
+counts.
 
 Edge cases: null text or text without a letter gives ``und``, score 0, rejected;
 a null id is never held out but is not learned from either; without any training
@@ -21,7 +23,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.llm.common import Scratch, held_out_column, mix64, read_table, tune
@@ -29,7 +31,7 @@ from reelsift.llm.common import Scratch, held_out_column, mix64, read_table, tun
 ORDER = 4
 #: Characters scored or counted at once.
 CHUNK = 1_000_000
-#: Most 4-grams that go to the driver; beyond it a count cutoff prunes the rarest.
+#: Most 4-grams that go to the driver; beyond it the model stays in tables.
 MAX_GRAMS = 4_000_000
 #: Sharpness of the reported score.
 SHARPNESS = 10.0
@@ -167,17 +169,125 @@ class LanguageModel:
             out.append(-np.stack(cols, axis=1) / (ends - starts)[:, None])
         return np.concatenate(out) if out else np.empty((0, len(self.models)))
 
+    def score(self, df: DataFrame) -> DataFrame:
+        return score_frame(df.sparkSession.sparkContext.broadcast(self), df)
 
-def fit(spark: SparkSession, scratch: Scratch, rows: DataFrame, max_grams: int = MAX_GRAMS) -> LanguageModel:
+
+def suffix(gram: Column, k: int) -> Column:
+    """The last k units of packed grams."""
+    return gram.bitwiseAND(F.lit((1 << (16 * k)) - 1)) if k < ORDER else gram
+
+
+def context(gram: Column) -> Column:
+    return F.shiftrightunsigned(gram, 16)
+
+
+def document_grams(df: DataFrame) -> DataFrame:
+    """(columns but text, grams, ns): each text's distinct 4-grams and their counts."""
+    keep = [c for c in df.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(grams([c])[0], return_counts=True) if c else (np.empty(0, np.uint64), np.empty(0, np.int64)) for c in map(clean, b.column("text").to_pylist())]
+            new = {"grams": pa.array([g.view(np.int64) for g, _ in found], pa.list_(pa.int64())), "ns": pa.array([n for _, n in found], pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_pydict({c: b.column(c) for c in keep} | new)
+
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    return df.mapInArrow(run, f"{kinds}, grams array<long>, ns array<long>")
+
+
+@dataclass
+class StoredModel:
+    """The same model as written tables, for more 4-grams than the driver takes.
+
+    ``probs[k - 1]`` is (i, g, p) and ``weights[k - 1]`` (i, ctx, w) of order k; i is
+    the language's place in ``langs``.  No key of a join among them has more rows
+    than there are character units.
+    """
+
+    scratch: Scratch
+    langs: list[str]
+    floors: list[float]
+    probs: list[DataFrame]
+    weights: list[DataFrame]
+    limits: dict[str, float] = field(default_factory=dict)
+
+    @classmethod
+    def fit(cls, scratch: Scratch, counts: DataFrame) -> StoredModel:
+        """KneserNey.fit of every language on (lang, gram, n)."""
+        spark = scratch.spark
+        langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+        places = spark.createDataFrame(list(enumerate(langs)), "i int, lang string")
+        tables = [counts.join(F.broadcast(places), "lang").select("i", F.col("gram").alias("g"), F.col("n").cast("double").alias("c"))]
+        for k in range(ORDER - 1, 0, -1):
+            tables.append(scratch.cut(tables[-1].groupBy("i", suffix(F.col("g"), k).alias("g")).agg(F.count("*").cast("double").alias("c")), f"order{k}"))
+        tables.reverse()
+        model = cls(scratch, langs, [], [], [])
+        for k, t in enumerate(tables, start=1):
+            sizes = sorted(t.groupBy("i").agg(F.count("*").alias("all"), F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos")).collect())
+            if k == 1:
+                model.floors = [1.0 / (r["all"] + 1) for r in sizes]
+            rows = [(r["i"], r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5, model.floors[r["i"]]) for r in sizes]
+            t = t.join(F.broadcast(spark.createDataFrame(rows, "i int, d double, floor double")), "i").withColumn("ctx", context(F.col("g")))
+            sums = t.groupBy("i", "ctx").agg(F.sum("c").alias("total"), (F.first("d") * F.count("*") / F.sum("c")).alias("w"))
+            sums = scratch.cut(sums, f"weights{k}")
+            below = F.col("floor")
+            t = t.join(sums, ["i", "ctx"])
+            if k > 1:
+                low = model.probs[-1].select("i", F.col("g").alias("low"), F.col("p").cast("double").alias("below"))
+                t, below = t.withColumn("low", suffix(F.col("g"), k - 1)).join(low, ["i", "low"]), F.col("below")
+            p = F.greatest(F.col("c") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("w") * below
+            model.probs.append(scratch.cut(t.select("i", "g", p.cast("float").alias("p")), f"probs{k}"))
+            model.weights.append(sums.select("i", "ctx", F.col("w").cast("float").alias("w")))
+            if k < ORDER:
+                scratch.drop(f"order{k}")
+        return model
+
+    def log_probs(self, needed: DataFrame) -> DataFrame:
+        """(gram, lps): log2 p(last character | three before) by language, of distinct packed 4-grams."""
+        wanted = [needed.select(F.col("gram").alias("g"))]
+        for k in range(ORDER - 1, 0, -1):
+            wanted.append(wanted[-1].select(suffix(F.col("g"), k).alias("g")).distinct())
+        wanted.reverse()
+        places = self.scratch.spark.createDataFrame(list(enumerate(self.floors)), "i int, floor double")
+        q = None
+        for k, t in enumerate(wanted, start=1):
+            t = t.crossJoin(F.broadcast(places)).withColumn("ctx", context(F.col("g")))
+            t = t.join(self.weights[k - 1], ["i", "ctx"], "left").join(self.probs[k - 1], ["i", "g"], "left")
+            below = F.col("floor").cast("float")
+            if q is not None:
+                t, below = t.withColumn("low", suffix(F.col("g"), k - 1)).join(q.select("i", F.col("g").alias("low"), F.col("q").alias("below")), ["i", "low"]), F.col("below")
+            backed = F.coalesce(F.col("w"), F.lit(1.0).cast("float")) * below
+            q = self.scratch.cut(t.select("i", "g", F.when(F.col("p") > 0, F.col("p")).otherwise(backed).alias("q")), f"backed{k}")
+        pairs = F.array_sort(F.collect_list(F.struct("i", F.log2("q").cast("float").alias("lp"))))
+        return q.groupBy(F.col("g").alias("gram")).agg(F.transform(pairs, lambda x: x["lp"]).alias("lps"))
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """As score_frame, by joins: each document's counts with its grams' table."""
+        keep = [c for c in df.columns if c != "text"]
+        rows = self.scratch.cut(document_grams(df.withColumn("__row", F.monotonically_increasing_id())), "rows")
+        each = rows.select("__row", F.explode(F.arrays_zip("grams", "ns")).alias("x")).select("__row", F.col("x.grams").alias("gram"), F.col("x.ns").alias("n"))
+        lps = self.log_probs(each.select("gram").distinct())
+        bits = F.array(*[-F.sum(F.col("n") * F.col("lps")[i].cast("double")) / F.sum("n") for i in range(len(self.langs))])
+        sums = each.join(lps, "gram").groupBy("__row").agg(bits.alias("h"))
+        low = F.array_min("h")
+        total = F.aggregate("h", F.lit(0.0), lambda a, x: a + F.pow(F.lit(2.0), -SHARPNESS * (x - low)))
+        second = F.array_sort("h")[1] if len(self.langs) > 1 else low + 1.0
+        pred = F.element_at(F.array(*map(F.lit, self.langs)), F.array_position("h", low).cast("int"))
+        sums = sums.select("__row", pred.alias("lang_pred"), (1.0 / total).alias("score"), low.alias("cross_entropy"), second.alias("runner_up"))
+        out = rows.select("__row", *keep).join(sums, "__row", "left")
+        return out.select(*keep, F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"), "cross_entropy", "runner_up")
+
+
+def fit(spark: SparkSession, scratch: Scratch, rows: DataFrame, max_grams: int | None = None) -> LanguageModel | StoredModel:
     """Learns from rows (text, lang) without nulls; counts cover all of them."""
     counts = rows.select("lang", "text").mapInArrow(count_batches, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = scratch.cut(counts, "grams")
-    sizes = {r["n"]: r["k"] for r in counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("k")).collect()}
-    cutoff, kept = 1, sum(sizes.values())
-    while kept > max_grams and cutoff <= 1000:
-        kept -= sizes.get(cutoff, 0)
-        cutoff += 1
-    pdf = counts.filter(F.col("n") >= cutoff).toPandas()
+    if counts.count() > (MAX_GRAMS if max_grams is None else max_grams):
+        model = StoredModel.fit(scratch, counts)
+        scratch.drop("grams")
+        return model
+    pdf = counts.toPandas()
     scratch.drop("grams")
     langs = sorted(pdf["lang"].unique())
     models = []
@@ -219,7 +329,7 @@ def score_frame(model_box, df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, f"{kinds}, lang_pred string, score double, cross_entropy double, runner_up double")
 
 
-def calibrate(spark: SparkSession, model: LanguageModel, rows: DataFrame, quantile: float = 0.9999, slack: float = 1.0) -> None:
+def calibrate(model: LanguageModel | StoredModel, rows: DataFrame, quantile: float = 0.9999, slack: float = 1.0) -> None:
     """Sets each language's limit from labelled rows that the counts haven't seen.
 
     The limit is the larger of the given quantile of right-language entropies and
@@ -228,8 +338,7 @@ def calibrate(spark: SparkSession, model: LanguageModel, rows: DataFrame, quanti
     """
     if not model.langs:
         return
-    box = spark.sparkContext.broadcast(model)
-    out = score_frame(box, rows.select("lang", "text")).filter("lang = lang_pred")
+    out = model.score(rows.select("lang", "text")).filter("lang = lang_pred")
     for r in out.groupBy("lang").agg(F.percentile_approx("cross_entropy", F.lit(quantile), F.lit(10000)).alias("q"), F.percentile_approx("cross_entropy", 0.99).alias("a"), F.percentile_approx("runner_up", 0.01).alias("b")).collect():
         if r["q"] is not None:
             model.limits[r["lang"]] = max(r["q"], (r["a"] + max(r["a"], r["b"])) / 2) + slack
@@ -242,9 +351,8 @@ def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     labelled = docs.filter("text is not null and lang is not null and doc_id is not null")
     model = fit(spark, scratch, labelled.filter(fold > 1))
-    calibrate(spark, model, labelled.filter(fold == 1))
-    box = spark.sparkContext.broadcast(model)
-    out = score_frame(box, docs.select("doc_id", held_out_column().alias("held_out"), "text"))
+    calibrate(model, labelled.filter(fold == 1))
+    out = model.score(docs.select("doc_id", held_out_column().alias("held_out"), "text"))
     limit = F.lit(None).cast("double")
     for lang, v in model.limits.items():
         limit = F.when(F.col("lang_pred") == lang, F.lit(float(v))).otherwise(limit)

@@ -362,6 +362,29 @@ def test_op9_probabilities_sum_to_one():
         assert 0.9 < p <= 1.001
 
 
+def test_op9_many_grams_keep_every_language_and_count(spark, odd, monkeypatch):
+    rng = random.Random(14)
+    rows = [("en", prose("en", 60, rng)) for _ in range(40)] + [("de", prose("de", 60, rng)) for _ in range(40)] + [("xx", "qvoz jyk"), ("yy", "щжы🎈 ﷺ\uffff\uffffー")]
+    learn = spark.createDataFrame(rows, "lang string, text string")
+    t = Scratch(spark, "test")
+    stored = op9_language.fit(spark, t, learn, max_grams=50)
+    whole = op9_language.fit(spark, t, learn)
+    assert stored.langs == whole.langs == ["de", "en", "xx", "yy"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([r[1] for r in rows] + list(ODD) + ["qvoz", "щжы"])], "doc_id long, text string").union(odd.select("doc_id", "text"))
+    near, far = (sorted(m.score(docs).collect(), key=lambda r: (r.doc_id is None, r.doc_id, str(r))) for m in (whole, stored))
+    assert len(near) == len(far) == docs.count()
+    for a, b in zip(near, far):
+        assert a[:2] == b[:2] and np.isclose(a.score, b.score, atol=1e-4)
+        assert (a.cross_entropy is None and b.cross_entropy is None) or np.allclose((a.cross_entropy, a.runner_up), (b.cross_entropy, b.runner_up), atol=1e-4)
+    assert {r.doc_id: r.lang_pred for r in far if r.doc_id and r.doc_id >= 80}[80] == "xx"
+    monkeypatch.setattr(op9_language, "MAX_GRAMS", 50)
+    langs = ["en"] * 40 + ["de"] * 40 + [None] * len(ODD)
+    table_ = table(spark, [r[1] for r in rows[:80]] + list(ODD), langs)
+    got = {r.doc_id: r for r in op9_language.identify(spark, table_).collect()}
+    assert len(got) == len(langs) and all(got[i].lang_pred == x and not got[i].rejected for i, x in enumerate(langs[:80]))
+    assert got[80].lang_pred == "und" and got[80].rejected and got[80].score == 0
+
+
 def brute_removed(texts, ids):
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
     first = {}
