@@ -17,7 +17,7 @@ CAPTIONS_SQL = """select doc_id row_pos, case doc_id%8 when 0 then '<think>plan'
  when 1 then 'Frame Analysis: Frame 1 has a car. Final dense caption: '||body when 2 then body||' It has a visible watermark here.'
  when 3 then 'The user wants a dense caption for this. '||body when 4 then body||' A public event scene with'
  when 5 then '   '||chr(9)||chr(10) when 6 then null else body end raw_text
-from (select doc_id, 'Clip '||cast(doc_id as string)||' shows '||substr(text,1,60)||' here.' body from documents) t"""
+from (select doc_id, 'Clip '||cast(doc_id as string)||' shows '||text||' here.' body from documents) t"""
 BOXES_SQL = """select event_id box_id, user_id clip_no, event_type word, (event_id%100)/100e0 conf, (event_id*7)%80*1e0 x_min, (event_id*11)%80*1e0 y_min,
  (event_id*7)%80*1e0+(event_id%20) x_max, (event_id*11)%80*1e0+(event_id%15) y_max, 1e4 frame_area from events"""
 FILES_SQL = "select page_id, 'u'||cast(page_id as string)||'.mp4' name, length(html)*1000 size from pages"

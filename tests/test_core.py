@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from reelsift import fixed
 from reelsift.functions import hashing, image, text
 from reelsift.operators import captioning, dedupe, export, gates, measures, report, review, scenes, training
 from reelsift.schema import AppConfig, QualityConfig, SceneSplitConfig, config_from
-from reelsift.sources import manifest
+from reelsift.sources import fixtures, manifest
 
 
 def one(spark, column, **values):
@@ -172,6 +173,34 @@ def test_review_and_export(spark):
     assert review.upload_verdict(spark.createDataFrame([(60 * 1024 * 1024,)], "size long")).first().verdict == "file_too_large"
 
 
+def test_caption_queries_read_whole_texts(spark, tmp_path):
+    from reelsift.plans.registry import QUERIES
+
+    filler = "calm fields under a pale sky. " * 400
+    said = {7: filler + "<think>hid\nden</think> A visible\t\u3000logo, none\n of it known.", 15: filler + "Final  caption:\n A red  car.", 23: filler, 31: None, 12: filler + "Dense caption: Provided frames " + filler}
+    spark.createDataFrame(list(said.items()), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k,) for k in said], "o_orderkey long").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+
+    def brute(k):
+        if said[k] is None:
+            return None
+        t = f"Clip {k} shows {said[k]} here." + (" A public event scene with" if k % 8 == 4 else "")
+        t = re.sub(fixed.THINK_TAG, "", re.sub(fixed.THINK_BLOCK, "", t)).strip()
+        found = re.search(fixed.FINAL_CAPTION, t)
+        return " ".join(re.sub(fixed.CAPTION_PREFIX, "", (found[1] if found else t).strip()).split())
+
+    run = lambda name: {r[0]: r for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    got = run("caption_sanitize")
+    assert {k: r.caption for k, r in got.items()} == {k: brute(k) for k in said} and len(got[23].caption) > len(filler) and got[15].caption == "A red car. here."
+    reasons = {k: r.reasons for k, r in run("caption_reasons").items()}
+    assert reasons == {7: "caption_mentions_text_overlay", 15: "", 23: "", 31: "caption_empty", 12: "caption_contains_reasoning,caption_incomplete"}
+    assert {k for k, r in run("caption_incomplete").items() if r.incomplete} == {12}
+    assert all(brute(k) in r.caption for k, r in run("training_caption").items() if brute(k))
+    ids = {r.row_pos: r.clip_id for r in fixtures.manifest(spark, str(tmp_path)).collect()}
+    assert all(run("gate_all_keep")[ids[k]].reasons.endswith(x) for k, x in reasons.items())
+    assert set(run("review_search")) == {ids[7], ids[31]}
+
+
 def test_scenes_and_commands(spark):
     rows = [("v.mp4", i, 30.0 if i in (5, 20, 25, 40) else 1.0) for i in range(60)]
     s = spark.createDataFrame(rows, "video string, i long, v double")
