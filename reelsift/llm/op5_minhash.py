@@ -331,6 +331,10 @@ class NearDuplicates:
         return links, comps
 
 
+#: Least similarity of near copies in the pipeline, in percent.
+STAGE_PERCENT = 80
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) -> DataFrame:
     return NearDuplicates(spark, docs, percent).run()
 
@@ -342,7 +346,8 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class stays, the one of the smallest id.
 
+    Documents of similarity 0.80 or more are linked; the 0.85 is op5's own.
     Rows that repeat the whole of a kept id are one document and all stay.
     """
-    kept = near_duplicates(spark, docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+    kept = near_duplicates(spark, docs, STAGE_PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
     return docs.join(kept, F.col("doc_id") == F.col("__id"), "left").filter("doc_id is null or __id is not null").select(*docs.columns)

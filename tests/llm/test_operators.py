@@ -233,6 +233,23 @@ def test_op5_matches_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_op5_stage_links_from_80_percent(spark):
+    rng, texts = random.Random(15), []
+    shingles = lambda t: set(zip(*(t.lower().split()[k:] for k in range(5))))
+    for n in range(10):
+        base = [f"w{n}x{i}y{rng.random()}" for i in range(200)]
+        texts.append(" ".join(base))
+        for edits in (3, 4, 5):
+            w = list(base)
+            for e in range(edits):
+                w[10 + 30 * e + edits * 6 - 18] = f"new{n}z{edits}z{e}"
+            texts.append(" ".join(w))
+    sets = [shingles(t) for t in texts]
+    like = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    assert all(like(i, i + 1) > 0.85 > like(i, i + 2) > 0.8 > like(i, i + 3) and max(like(i + 1, i + 3), like(i + 2, i + 3)) < 0.8 for i in range(0, 40, 4))
+    assert {r.doc_id for r in op5_minhash.stage(spark, table(spark, texts), "").collect()} == {i for i in range(40) if i % 4 in (0, 3)}
+
+
 def test_op5_estimates(spark):
     rng = np.random.default_rng(1)
     for share in (0.3, 0.8, 0.95):
