@@ -3,12 +3,14 @@
 Text is normalised by longest prefixes of the model's compiled character map (a
 double-array trie); every normalised byte remembers its source offset.  The text
 is cut before each run of word marks, which no piece of the vocabulary crosses,
-so byte-pair merging may run run by run and remember its results, within a bound.
+so byte-pair merging may run run by run: the runs that some texts hold and that
+aren't remembered are merged together, one merge of each run a step, in arrays.
 Each piece is projected to a span of source bytes.
 
-Edge cases: null text counts as empty; empty text encodes to the end id alone;
-repeated and null ids give one row each; an empty table gives an empty result;
-extra columns are ignored.
+Edge cases: null text counts as empty; empty text encodes to the end id alone; very
+long texts and runs are encoded whole (long runs with a heap); equal scores merge
+leftmost first; repeated and null ids give one row each; an empty table gives an
+empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, pairwise
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,12 @@ from reelsift.llm.common import read_table, tune
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-#: Runs remembered by a worker.
-LIMIT = 100_000
+#: Runs remembered by a worker, the longest of them that are merged in arrays, and texts taken together.
+LIMIT = 300_000
+SHORT = 40
+TOGETHER = 200
+#: Symbols of characters that are no piece begin here.
+BEYOND = 1 << 24
 
 
 def default_model() -> str:
@@ -120,7 +126,6 @@ class Model:
     end: int = 2
     ids: dict[str, int] = field(default_factory=dict)
     digest: str = ""
-    blob: bytes = b""
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -136,7 +141,7 @@ class Model:
         p = proto.pieces
         kinds = [x.type for x in p]
         out = cls([x.piece for x in p], kinds, [x.score for x in p], norm.precompiled_charsmap, norm.add_dummy_prefix, norm.remove_extra_whitespaces, kinds.index(UNKNOWN))
-        out.digest, out.blob = hashlib.sha256(blob).hexdigest(), blob
+        out.digest = hashlib.sha256(blob).hexdigest()
         out.end = next((i for i, x in enumerate(p) if x.piece == "</s>" and x.type == CONTROL), out.unk)
         if any(MARK in x.piece.lstrip(MARK) for x in p if x.type == NORMAL) or any(k == USER for k in kinds):
             raise ValueError("a piece crosses a word mark or is user-defined")
@@ -144,20 +149,129 @@ class Model:
         return out
 
 
-class _Runs(dict):
-    """Results by run, remembered up to a bound."""
+class Merges:
+    """Which two symbols merge into which piece, in a hash table of packed pairs."""
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
+    def __init__(self, model: Model):
+        scores = sorted({model.scores[i] for i in model.ids.values()}, reverse=True)
+        place = {x: r for r, x in enumerate(scores)}
+        self.never = len(scores)
+        self.symbol = np.arange(0x110000, dtype=np.int64) + BEYOND  # of a character
+        for p, i in model.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        of = lambda part: model.ids.get(part) if len(part) > 1 else int(self.symbol[ord(part)])
+        found = [(x << 32 | y, place[model.scores[i]], i) for p, i in model.ids.items() for k in range(1, len(p)) if (x := of(p[:k])) is not None and (y := of(p[k:])) is not None]
+        self.rank_of = {i: place[model.scores[i]] for i in model.ids.values()}
+        bits = max(4, (4 * len(found)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.rank = np.full(1 << bits, self.never, np.int32)
+        self.into = np.zeros(1 << bits, np.int64)
+        self.probes = 1
+        for key, rank, i in found:
+            at, n = self._home(np.array([key]))[0], 1
+            while self.keys[at] >= 0:
+                at, n = (at + 1) & self.last, n + 1
+            self.keys[at], self.rank[at], self.into[at] = key, rank, i
+            self.probes = max(self.probes, n)
+
+    def _home(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (``never`` without a merge) and merged symbol of each pair."""
+        key = left << 32 | right
+        at = self._home(key)
+        hit = self.keys[at] == key
+        rank, into = np.where(hit, self.rank[at], self.never), self.into[at]
+        todo = np.flatnonzero(~hit & (self.keys[at] >= 0))
+        for _ in range(1, self.probes):
+            if not len(todo):
+                break
+            at = (self._home(key[todo]) if _ == 1 else at) + 1 & self.last
+            got = self.keys[at]
+            hit = got == key[todo]
+            rank[todo[hit]], into[todo[hit]] = self.rank[at[hit]], self.into[at[hit]]
+            more = ~hit & (got >= 0)
+            todo, at = todo[more], at[more]
+        return rank, into
+
+    def runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all runs after their merges, and how many each run has: best rank first, leftmost of equal ones."""
+        size = np.fromiter(map(len, runs), np.int64, len(runs))
+        chars = self.symbol[np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        wide = int(size.max()) + 1
+        inside = np.arange(wide) < size[:, None]
+        sym = np.full((len(runs), wide), -1, np.int64)
+        sym[inside] = chars
+        rank = np.full((len(runs), wide), self.never, np.int32)
+        into = np.zeros((len(runs), wide), np.int64)
+        pair = inside[:, 1:]
+        rank[:, :-1][pair], into[:, :-1][pair] = self.look(sym[:, :-1][pair], sym[:, 1:][pair])
+        done_sym, done_size = np.full_like(sym, -1), size.copy()
+        live = np.arange(len(runs))
+        cols = np.arange(wide - 1)
+        while len(live):
+            best = rank.argmin(1)
+            rows = np.arange(len(live))
+            go = rank[rows, best] < self.never
+            if not go.all():
+                end = ~go
+                done_sym[live[end], : sym.shape[1]] = sym[end]
+                done_size[live[end]] = size[end]
+                live, sym, rank, into, size, best = live[go], sym[go], rank[go], into[go], size[go], best[go]
+                if not len(live):
+                    break
+                rows = np.arange(len(live))
+            merged = into[rows, best]
+            gone = cols[: sym.shape[1] - 1] > best[:, None]  # what stands right of the pair moves left
+            for x in (sym, rank, into):
+                x[:, :-1] = np.where(gone, x[:, 1:], x[:, :-1])
+            sym[:, -1], rank[:, -1] = -1, self.never
+            sym[rows, best] = merged
+            size -= 1
+            keep = int(size.max()) + 1
+            sym, rank, into = sym[:, :keep], rank[:, :keep], into[:, :keep]
+            rank[rows, best] = self.never  # anew: the pair that begins and the one that ends here
+            some = np.flatnonzero(best < size - 1)
+            at = best[some]
+            rank[some, at], into[some, at] = self.look(sym[some, at], sym[some, at + 1])
+            some = np.flatnonzero(best > 0)
+            at = best[some] - 1
+            rank[some, at], into[some, at] = self.look(sym[some, at], sym[some, at + 1])
+        return done_sym[np.arange(wide) < done_size[:, None]], done_size
+
+    def long(self, run: str) -> list[int]:
+        """The same of one run of any length, with a heap."""
+        sym: list[int] = self.symbol[np.frombuffer(run.encode("utf-32-le", "surrogatepass"), np.uint32)].tolist()
+        n = len(sym)
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[int, int, int, int, int, int]] = []
+
+        def offer(some: list[int]) -> None:
+            left = np.array([sym[a] for a in some], np.int64)
+            right = np.array([sym[nxt[a]] for a in some], np.int64)
+            for a, r, i in zip(some, *(x.tolist() for x in self.look(left, right))):
+                if r < self.never:
+                    heapq.heappush(heap, (r, a, nxt[a], sym[a], sym[nxt[a]], i))
 
-    def __missing__(self, run: str) -> tuple:
-        got = self.make(run)
-        if len(run) <= 64:
-            if len(self) >= LIMIT:
-                self.clear()
-            self[run] = got
-        return got
+        offer(list(range(n - 1)))
+        while heap:
+            _, a, b, x, y, i = heapq.heappop(heap)
+            if sym[a] != x or sym[b] != y or nxt[a] != b:
+                continue
+            sym[a], sym[b] = i, -1
+            nxt[a] = nxt[b]
+            fresh = []
+            if nxt[b] < n:
+                prv[nxt[b]] = a
+                fresh.append(a)
+            if prv[a] >= 0:
+                fresh.append(prv[a])
+            if fresh:
+                offer(fresh)
+        return [x for x in sym if x >= 0]
 
 
 class Codec:
@@ -171,104 +285,84 @@ class Codec:
         self.bytes_ = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(model.pieces, model.kinds)) if k == BYTE}
         self.values = {i: b for b, i in self.bytes_.items()}
         self.texts = ["" if k == CONTROL else " ⁇ " if k == UNKNOWN else p.replace(MARK, " ") for p, k in zip(model.pieces, model.kinds)]
-        order = sorted({model.scores[i] for i in model.ids.values()}, reverse=True)
-        place = {x: r for r, x in enumerate(order)}
-        self.rank = {p: place[model.scores[i]] for p, i in model.ids.items()}
-        self.never = len(order)
-        self.sizes = [1 if k == BYTE else len(p.encode("utf-8", "surrogatepass")) for p, k in zip(model.pieces, model.kinds)]
-        self.size_of = np.array(self.sizes, np.int64)
+        self.sizes = np.array([1 if k == BYTE else len(p.encode("utf-8", "surrogatepass")) for p, k in zip(model.pieces, model.kinds)], np.int64)
         self.said = [str(i) for i in range(len(model.pieces))]
-        self.known = _Runs(self.of_run)
-        self.library = None
-
-    def with_library(self) -> Codec:
-        """Lets the sentencepiece library do the merges of ``batch``, some texts at a time.
-
-        Its results are those of ``merged``; normalisation, alignment, projection
-        and decoding stay here.
-        """
-        if self.bytes_ and not self.map.units and not self.m.squeeze and self.m.dummy_prefix and self.m.blob:
-            import sentencepiece
-
-            self.library = sentencepiece.SentencePieceProcessor(model_proto=self.m.blob)
-        return self
-
-    def batch(self, texts: list[str | None]) -> Iterator[tuple[list[int], np.ndarray, str]]:
-        """``encode`` of some texts; the library merges them in one call."""
-        if self.library is None:
-            yield from map(self.encode, texts)
-            return
-        texts = [t or "" for t in texts]
-        for text, ids in zip(texts, self.library.encode(texts, num_threads=1)):
-            align = self.normalised(text)[1]
-            cuts = np.zeros(len(ids) + 1, np.int64)
-            np.cumsum(self.size_of[np.array(ids, np.int64)], out=cuts[1:])
-            yield self._projected(ids, cuts, align, [self.said[i] for i in ids], True)
-
-    def merged(self, run: str) -> list[str]:
-        """Best-score merges of adjacent symbols, leftmost of equal ones first."""
-        if len(run) > 48:
-            return self._merged_long(run)
-        rank, never = self.rank.get, self.never
-        sym = list(run)
-        pair = [rank(x + y, never) for x, y in pairwise(sym)]
-        while pair:
-            best = min(pair)
-            if best == never:
-                break
-            i = pair.index(best)
-            both = sym[i] + sym.pop(i + 1)
-            sym[i] = both
-            del pair[i]
-            if i < len(pair):
-                pair[i] = rank(both + sym[i + 1], never)
-            if i:
-                pair[i - 1] = rank(sym[i - 1] + both, never)
-        return sym
-
-    def _merged_long(self, run: str) -> list[str]:
-        """The same with a heap, for runs of any length."""
-        sym: list[str] = list(run)
-        n = len(sym)
-        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, str]] = []
-
-        def offer(a: int, b: int) -> None:
-            both = sym[a] + sym[b]
-            if (r := self.rank.get(both)) is not None:
-                heapq.heappush(heap, (r, a, b, both))
-
-        for a in range(n - 1):
-            offer(a, a + 1)
-        while heap:
-            _, a, b, both = heapq.heappop(heap)
-            if not sym[a] or not sym[b] or nxt[a] != b or sym[a] + sym[b] != both:
-                continue
-            sym[a], sym[b] = both, ""
-            nxt[a] = nxt[b]
-            if nxt[b] < n:
-                prv[nxt[b]] = a
-                offer(a, nxt[b])
-            if prv[a] >= 0:
-                offer(prv[a], a)
-        return [s for s in sym if s]
-
-    def of_run(self, run: str) -> tuple[list[int], list[int], str]:
-        """Ids of a normalised run, their lengths in normalised bytes, and the ids as text."""
-        sym = self.merged(run)
-        ids = list(map(self.m.ids.get, sym))
-        if None not in ids:
-            return ids, [self.sizes[i] for i in ids], " ".join([self.said[i] for i in ids])
-        out, sizes = [], []
-        for s, i in zip(sym, ids):
-            if i is not None:
-                out.append(i)
-                sizes.append(self.sizes[i])
+        self.merges = Merges(model)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Runs by their place; ``flat`` has their ids from ``starts[k]`` to ``starts[k + 1]``, ``spread`` these ids' bytes."""
+        self.known: dict[str, int] = {}
+        self.flat, self.spread = np.empty(0, np.int32), np.empty(0, np.int32)
+        self.starts = np.zeros(1, np.int64)
+
+    def _learn(self, runs: list[str]) -> None:
+        if len(self.known) + len(runs) > LIMIT:
+            self._forget()
+        parts, counts, at = [self.flat], [], len(self.flat)
+        runs = sorted(runs, key=len)
+        k = 0
+        while k < len(runs):  # runs of like length share an array
+            if len(runs[k]) > SHORT:
+                sym = np.array(self.merges.long(runs[k]), np.int64)
+                size, end = np.array([len(sym)]), k + 1
+            else:
+                end = k
+                while end < len(runs) and end < k + 20_000 and len(runs[end]) <= min(SHORT, len(runs[k]) + 4):
+                    end += 1
+                sym, size = self.merges.runs(runs[k:end])
+            parts.append(sym)
+            counts.append(size)
+            k = end
+        ids, counts = np.concatenate(parts[1:]) if parts[1:] else np.empty(0, np.int64), np.concatenate(counts) if counts else np.empty(0, np.int64)
+        ids, spread, counts = self._with_bytes(ids, counts)
+        self.flat = np.concatenate([self.flat, ids.astype(np.int32)])
+        self.spread = np.concatenate([self.spread, spread.astype(np.int32)])
+        self.starts = np.concatenate([self.starts, at + np.cumsum(counts)])
+        self.known.update(zip(runs, range(len(self.known), len(self.known) + len(runs))))
+
+    def _with_bytes(self, sym: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, their normalised bytes and how many each run has, where symbols that are no piece fall back to bytes or the unknown id."""
+        odd = np.flatnonzero(sym >= BEYOND)
+        if not len(odd):
+            return sym, self.sizes[sym], counts
+        run = np.repeat(np.arange(len(counts)), counts)
+        raw = [chr(c).encode("utf-8", "surrogatepass") for c in (sym[odd] - BEYOND).tolist()]
+        times = np.ones(len(sym), np.int64)
+        if self.bytes_:
+            times[odd] = [len(r) for r in raw]
+        ids = np.repeat(sym, times)
+        heads = np.cumsum(times) - times
+        spread = self.sizes[np.where(ids < BEYOND, ids, 0)]
+        for k, r in zip(heads[odd].tolist(), raw):
+            if self.bytes_:
+                ids[k : k + len(r)], spread[k : k + len(r)] = [self.bytes_[b] for b in r], 1
             else:
-                raw = s.encode("utf-8", "surrogatepass")
-                out += [self.bytes_[b] for b in raw] if self.bytes_ else [self.m.unk]
-                sizes += [1] * len(raw) if self.bytes_ else [len(raw)]
-        return out, sizes, " ".join([self.said[i] for i in out])
+                ids[k], spread[k] = self.m.unk, len(r)
+        return ids, spread, np.bincount(np.repeat(run, times), minlength=len(counts))
+
+    def batch(self, texts: list[str | None], end: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray, str]]:
+        """Of each text its ids, their (n, 2) spans of source bytes (the end id's is empty), and the ids as text."""
+        norms = [self.normalised(t or "") for t in texts]
+        runs = [self._RUNS.findall(n) for n, _ in norms]
+        every = set().union(*runs)
+        if len(self.known) + len(every) > LIMIT:
+            self._forget()
+        if fresh := every - self.known.keys():
+            self._learn(list(fresh))
+        for (_, align), mine in zip(norms, runs):
+            at = np.fromiter(map(self.known.__getitem__, mine), np.int64, len(mine))
+            head, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+            spot = np.arange(int(size.sum())) + np.repeat(head - (np.cumsum(size) - size), size)
+            ids, cuts = self.flat[spot], np.concatenate([[0], np.cumsum(self.spread[spot], dtype=np.int64)])
+            bounds = align[cuts]
+            if cuts[-1] != len(align) - 1:
+                raise ValueError("pieces don't cover the normalised text")
+            spans = np.stack([bounds[:-1], bounds[1:]], axis=1)
+            if end:
+                ids = np.append(ids, np.int32(self.m.end))
+                spans = np.concatenate([spans, np.full((1, 2), align[-1])])
+            yield ids, spans, " ".join(map(self.said.__getitem__, ids.tolist()))
 
     def normalised(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text and, for each of its bytes and its end, the source offset."""
@@ -319,25 +413,9 @@ class Codec:
         return out.decode("utf-8", "surrogatepass"), np.array([*align, len(data)], np.int64)
 
     def encode(self, text: str | None, end: bool = True) -> tuple[list[int], np.ndarray, str]:
-        """Ids, their (n, 2) spans of source bytes (the end id's is empty), ids as text."""
-        norm, align = self.normalised(text or "")
-        runs = list(map(self.known.__getitem__, self._RUNS.findall(norm)))
-        ids = list(chain.from_iterable([r[0] for r in runs]))
-        cuts = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(np.fromiter(chain.from_iterable([r[1] for r in runs]), np.int64, len(ids)), out=cuts[1:])
-        return self._projected(ids, cuts, align, [r[2] for r in runs], end)
-
-    def _projected(self, ids: list[int], cuts: np.ndarray, align: np.ndarray, said: list[str], end: bool) -> tuple[list[int], np.ndarray, str]:
-        """Pieces that end at ``cuts`` of the normalised bytes, as spans of source bytes."""
-        if cuts[-1] != len(align) - 1:
-            raise ValueError("pieces don't cover the normalised text")
-        bounds = align[cuts]
-        spans = np.stack([bounds[:-1], bounds[1:]], axis=1)
-        if end:
-            ids.append(self.m.end)
-            spans = np.concatenate([spans, np.full((1, 2), align[-1])])
-            said.append(str(self.m.end))
-        return ids, spans, " ".join(said)
+        """``batch`` of one text, its ids as a list."""
+        ids, spans, said = next(self.batch([text], end))
+        return ids.tolist(), spans, said
 
     def decode(self, ids: list[int]) -> str:
         values = self.values
@@ -393,16 +471,16 @@ def tokenised(spark: SparkSession, docs: DataFrame, path: str | None = None) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = box.value
         if model.digest not in _codecs:
-            _codecs[model.digest] = Codec(model).with_library()
+            _codecs[model.digest] = Codec(model)
         codec = _codecs[model.digest]
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for b in batches:
             n, a, d, s = [], [], [], []
             texts = b.column("text").to_pylist()
-            for ids, spans, said in chain.from_iterable(codec.batch(texts[i : i + 100]) for i in range(0, len(texts), 100)):
+            for ids, spans, said in chain.from_iterable(codec.batch(texts[i : i + TOGETHER]) for i in range(0, len(texts), TOGETHER)):
                 n.append(len(ids))
                 a.append(sha(said.encode()))
-                d.append(sha(codec.decode(ids).encode("utf-8", "surrogatepass")))
+                d.append(sha(codec.decode(ids.tolist()).encode("utf-8", "surrogatepass")))
                 s.append(sha(spans.astype("<i8").tobytes()))
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()), "decoded_sha256": pa.array(d, pa.string()), "spans_sha256": pa.array(s, pa.string())})
 
