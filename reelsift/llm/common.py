@@ -20,20 +20,23 @@ from pyspark.sql import functions as F
 
 from reelsift.ship import ship
 
-#: Rows in an Arrow batch handed to Python; long texts stay bounded in memory.
-ARROW_ROWS = 1000
+#: Most rows and bytes of an Arrow batch handed to Python; a row of more bytes makes a batch of its own.
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session and hands our modules to executors."""
+    """Hands our modules to executors and sets this session's bounds of Arrow batches."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or one of our own where none is set."""
+    """The shared folder the cluster names; a temporary one only where driver and executors are one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="reelsift-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -84,10 +87,14 @@ class WordHash(dict):
 
     LIMIT = 200_000
 
+    def __init__(self, seed: int = 0):
+        super().__init__()
+        self.seed = seed
+
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word, self.seed)
         self[word] = h
         return h
 
@@ -136,20 +143,18 @@ BITMAP_WORDS = 1 << 20
 def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows whose ``column`` may be among the written one-column table ``ids``.
 
-    A bitmap of hashed ids, of at most ``BITMAP_WORDS`` words whatever the input,
-    is broadcast so that most other rows never reach a shuffle.  It only thins
-    out: an exact join on the same column has to follow, and a full bitmap merely
-    lets more rows through.
+    A bitmap of hashed ids, of at most ``BITMAP_WORDS`` words whatever the input, is
+    summed on the executors and broadcast, so that most other rows never reach a
+    shuffle.  It only thins out: an exact join on the same column has to follow,
+    and a full bitmap merely lets more rows through.
     """
-    spark = rows.sparkSession
     (key,) = ids.columns
-    words = 1024
-    while words < BITMAP_WORDS and words < ids.count():
+    n, words = ids.count(), 1024
+    while words < min(BITMAP_WORDS, n):
         words *= 2
     word = lambda c: F.pmod(F.xxhash64(c), F.lit(words))
     bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(F.xxhash64(c), 32), F.lit(64)).cast("int"))
-    got = ids.select(word(key).alias("w"), bit(key).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    bitmap = spark.createDataFrame([(r["w"], r["b"]) for r in got], "__w long, __b long")
+    bitmap = ids.select(word(key).alias("__w"), bit(key).alias("__b")).groupBy("__w").agg(F.bit_or("__b").alias("__b"))
     return rows.join(F.broadcast(bitmap), (word(column) == F.col("__w")) & (F.col("__b").bitwiseAND(bit(column)) != 0), "left_semi")
 
 
@@ -157,7 +162,9 @@ def connected_components(scratch: Scratch, links: DataFrame, name: str) -> DataF
     """(id, comp) for the ends of ``links`` (a, b): comp is the smallest id reachable.
 
     Minimum-label propagation with pointer jumping; every round is a written
-    table, the driver sees one count a round.  No links give an empty table.
+    table, the driver sees one flag a round.  No links give an empty table.  A hub
+    or a giant component makes one join key hot: nothing above those joins relies
+    on their partitioning, so adaptive execution splits such a key's rows.
     """
     edges = scratch.cut(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-edges")
     labels = scratch.cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), f"{name}-labels0")

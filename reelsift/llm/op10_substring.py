@@ -1,24 +1,31 @@
-"""Removal of repeated passages with prefix-partitioned suffix trees.
+"""Removal of repeated passages with prefix-partitioned subtrees of sampled suffixes.
 
 A window is 50 consecutive words.  Its words are removed when the same word
 sequence also starts in a document of a smaller id.
 
 1. Documents with equal word sequences are told by a digest; only the one of the
    smallest id goes on, the others lose everything (or nothing, below 50 words).
-2. Suffixes are dealt into groups by a prefix: the 8-word run of the smallest
-   hash in the window they start (equal windows choose equal runs).  Groups of a
-   single document can't hold a repeat and are dropped after a summed count.
-3. A group within the memory bound becomes one subtree: its suffixes are ranked by
-   prefix doubling; classes at depth 50 are the deep internal nodes, and each
-   node's smallest document keeps its words.  A larger group takes the longest
-   prefix instead, all 50 words: then each group is one node, and its smallest
-   document is an aggregate that Spark combines before the shuffle.
+2. A window stands at the suffix that starts at its anchor, the 8-word run of the
+   smallest hash inside it (equal windows have equal anchors).  Suffixes are dealt
+   into groups by that prefix; groups of a single document can't hold a repeat and
+   are dropped after a summed count.
+3. A group within the memory bound becomes one subtree: the suffixes inside it are
+   ranked by prefix doubling down to depth 50, where classes of several suffixes
+   are the deep internal nodes; each node's smallest document keeps its words.
+   In a larger group the prefix grows to all 50 words of a window: then each group
+   is one node, told by 128 bits, and its smallest document is an aggregate that
+   Spark combines before the shuffle.
 4. Covered words of each document are joined and cut from its text.
 
+No join here is followed by a step that relies on its partitioning, and both sides
+of each are written tables or plain projections, so that adaptive execution splits
+the rows of a hot text or passage.
+
 Edge cases: null text has no words; fewer than 50 words have no window; rows with
 a null id neither lose nor take words; repeated ids are equal, not smaller, and
-are told apart by their text; an empty table gives an empty result; extra
-columns are ignored.
+are told apart by their text; of windows tied between several documents the
+smallest id's stays; very long texts are read whole, their runs in pieces; an
+empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,8 +44,6 @@ WINDOW = 50
 ANCHOR = 8
 #: Words of one group that a subtree may hold; larger groups take full-depth prefixes.
 GROUP_WORDS = 200_000
-#: Parts that the rows of one full-depth prefix are dealt into.
-SALTS = 16
 #: Words ranked at once by a task (whole groups).
 TASK_WORDS = 500_000
 
@@ -90,14 +95,14 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "n_words": pa.array(n, pa.int64()), "sha": pa.array(sha, pa.string()), "tag": pa.array(tag, pa.int64()), "key": pa.array(keys, big), "lo": pa.array(lo, big), "hi": pa.array(hi, big)})
 
 
-_SEGMENT = "key long, doc long, tag long, lo long, hi long, deep boolean, words array<long>"
+_SEGMENT = "key long, more long, doc long, tag long, lo long, hi long, deep boolean, words array<long>"
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each run's words, or each window's full-depth key where its group is too large."""
-    hashes = WordHash()
-    cols = ("key", "doc", "tag", "lo", "hi", "deep", "words")
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+    hashes, others = WordHash(), WordHash(seed=1)
+    cols = ("key", "more", "doc", "tag", "lo", "hi", "deep", "words")
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=cols)
@@ -109,15 +114,16 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if short(digest(words)) != tag:
                 continue  # another text of a repeated id
             h = hashes.array(words)
-            full = rolling(h, WINDOW).view(np.int64) if any(r["deep"] for r in runs) else None
+            if any(r["deep"] for r in runs):
+                full, more = (rolling(x, WINDOW).view(np.int64) for x in (h, others.array(words)))
             signed = h.view(np.int64)
             for r in runs:
                 lo, hi = r["lo"], r["hi"]
                 if r["deep"]:
-                    out += [(k, doc, tag, i, i, True, None) for i, k in zip(range(lo, hi + 1), full[lo : hi + 1].tolist())]
+                    out += [(k, m, doc, tag, i, i, True, None) for i, k, m in zip(range(lo, hi + 1), full[lo : hi + 1].tolist(), more[lo : hi + 1].tolist())]
                     size += 10 * (hi + 1 - lo)
                 else:
-                    out.append((r["key"], doc, tag, lo, hi, False, signed[lo : hi + WINDOW]))
+                    out.append((r["key"], 0, doc, tag, lo, hi, False, signed[lo : hi + WINDOW]))
                     size += hi + WINDOW - lo
                 if size > 300_000:
                     yield batch(out)
@@ -220,20 +226,22 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = t.cut(docs.mapInArrow(_prefixes, "doc_id long, n_words long, sha string, tag long, key array<long>, lo array<long>, hi array<long>"), "prefixes")
     whole = rows.filter(f"n_words >= {WINDOW} and doc_id is not null")
     firsts = t.cut(whole.groupBy("sha").agg(F.min("doc_id").alias("first")), "firsts")
-    runs = whole.join(firsts, "sha").filter("doc_id = first").dropDuplicates(["sha"]).select(F.col("doc_id").alias("doc"), "tag", F.explode(F.arrays_zip("key", "lo", "hi")).alias("r")).select("doc", "tag", "r.*")
-    shared = runs.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.sum(F.col("hi") - F.col("lo") + WINDOW).alias("size")).filter("a < b").select("key", (F.col("size") > GROUP_WORDS).alias("deep"))
-    live = runs.join(shared, "key").groupBy("doc", "tag").agg(F.collect_list(F.struct("key", "lo", "hi", "deep")).alias("runs"))
+    own = whole.join(firsts, "sha").filter("doc_id = first")  # rows that repeat an id and its text do no harm below
+    runs = t.cut(own.select(F.col("doc_id").alias("doc"), "tag", F.explode(F.arrays_zip("key", "lo", "hi")).alias("r")).select("doc", "tag", "r.*"), "runs")
+    shared = runs.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.sum(F.col("hi") - F.col("lo") + WINDOW).alias("size")).filter("a < b")
+    shared = t.cut(shared.select("key", (F.col("size") > GROUP_WORDS).alias("deep")), "shared")
+    live = runs.join(shared, "key").groupBy("doc", "tag").agg(F.collect_set(F.struct("key", "lo", "hi", "deep")).alias("runs"))
     live = t.cut(live, "live")
+    t.drop("runs", "shared")
     ids = t.cut(live.select("doc").distinct(), "ids")
     texts = maybe_in(docs.withColumnRenamed("doc_id", "doc"), "doc", ids)
     flagged = t.cut(live.join(texts, "doc").select("doc", "tag", "text", "runs"), "flagged")
     segments = t.cut(flagged.mapInArrow(_segments, _SEGMENT), "segments")
 
     trees = segments.filter("not deep").select("key", "doc", "tag", "lo", "hi", "words").repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees, "doc long, tag long, lo long, hi long")
-    deep = segments.filter("deep").select("key", "doc", "tag", "lo")
-    nodes = deep.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("key", "low")
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))  # a common passage is one key; its rows spread over salts
-    deep = deep.withColumn("salt", F.pmod(F.col("doc"), F.lit(SALTS)).cast("int")).join(nodes.withColumn("salt", F.explode(salts)), ["key", "salt"]).filter("doc > low").select("doc", "tag", "lo", (F.col("lo") + WINDOW).alias("hi"))
+    deep = segments.filter("deep").select("key", "more", "doc", "tag", "lo")
+    nodes = t.cut(deep.groupBy("key", "more").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("key", "more", "low"), "nodes")
+    deep = deep.join(nodes, ["key", "more"]).filter("doc > low").select("doc", "tag", "lo", (F.col("lo") + WINDOW).alias("hi"))
     spans = t.cut(trees.union(deep), "spans")
     t.drop("segments")
     spans = spans.groupBy("doc", "tag").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))

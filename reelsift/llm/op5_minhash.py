@@ -279,7 +279,8 @@ class NearDuplicates:
         weights = live.join(sizes, "band").groupBy("id").agg(F.sum("size").alias("weight"))
         live = t.cut(live.join(weights, "id").select("band", "id", "weight"), "weighted")
 
-        comps, links, tried = None, None, None
+        no_link = t.cut(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "no-link")
+        comps, links, tried = None, no_link, None
         for turn in range(HUB_ROUNDS):
             rows = self.with_components(live, comps)
             rank = F.struct(F.col("weight").alias("w"), (-F.col("id")).alias("i"), F.col("comp").alias("c"))
@@ -292,18 +293,22 @@ class NearDuplicates:
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             near = t.cut(self.estimated(pairs), f"near{turn}")
+            if near.isEmpty():
+                break
             tried = near.select("a", "b") if tried is None else tried.union(near.select("a", "b"))
             new = self.confirmed(near, f"hub{turn}")
-            links = new if links is None else links.union(new)
+            links = links.union(new)
             comps = connected_components(t, links, f"comps{turn}")
 
-        links, comps = self.rest(live, links, comps)
+        comps = self.rest(live, links, comps)
         firsts = whole.groupBy("key").agg(F.min("doc_id").alias("id"))
-        classes = self.with_components(firsts, comps).select("key", "comp")
-        out = sketches.select("doc_id", "key", F.col("n").alias("n_shingles")).join(classes, "key", "left")
+        classes = t.cut(self.with_components(firsts, comps).select("key", "comp"), "classes")
+        rows = sketches.select("doc_id", "key", F.col("n").alias("n_shingles"))
+        # A written side and nothing above that needs the partitioning: a text with many copies can be split.
+        out = rows.filter("key is not null").join(classes, "key", "left").unionByName(rows.filter("key is null").withColumn("comp", F.lit(None).cast("long")))
         return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
-    def rest(self, live: DataFrame, links: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def rest(self, live: DataFrame, links: DataFrame, comps: DataFrame | None) -> DataFrame | None:
         """Meets every pair of a bucket that hubs left in different components."""
         t = self.t
         rows = self.with_components(live.select("band", "id"), comps)
@@ -316,19 +321,25 @@ class NearDuplicates:
         rows = rows.join(self.reps.select("id", "n", "regs"), "id")
         near = rows.repartition("band", "block").sortWithinPartitions("band", "block").select("band", "block", "id", "comp", "side", "n", "regs").mapInArrow(_within_bucket(self.near), "a long, b long, est double")
         near = t.cut(near, "rest-near")
+        if near.isEmpty():
+            return comps
         for turn in ("best", "all"):
-            if near.isEmpty():
-                break
-            here = comps.withColumnsRenamed({"id": "a", "comp": "ca"})
-            there = comps.withColumnsRenamed({"id": "b", "comp": "cb"})
-            todo = near.join(here, "a", "left").join(there, "b", "left").withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b")).filter("ca <> cb")
+            todo = near.withColumn("ca", F.col("a")).withColumn("cb", F.col("b"))
+            if comps is not None:
+                here = comps.withColumnsRenamed({"id": "a", "comp": "ca"})
+                there = comps.withColumnsRenamed({"id": "b", "comp": "cb"})
+                todo = near.join(here, "a", "left").join(there, "b", "left").withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b")).filter("ca <> cb")
             if turn == "best":  # for each two components their closest pair first
                 todo = todo.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.max(F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
             todo = t.cut(todo.select("a", "b"), f"rest-{turn}")
+            if todo.isEmpty():
+                break
             new = self.confirmed(todo, f"rest-{turn}")
+            if new.isEmpty():
+                continue
             links = links.union(new)
             comps = connected_components(t, links, f"comps-{turn}")
-        return links, comps
+        return comps
 
 
 #: Least similarity of near copies in the pipeline, in percent.
@@ -347,7 +358,12 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each class stays, the one of the smallest id.
 
     Documents of similarity 0.80 or more are linked; the 0.85 is op5's own.
-    Rows that repeat the whole of a kept id are one document and all stay.
+    Rows that repeat the whole of a kept id are one document and all stay.  Null
+    and blank texts have no links and stay, as do rows with a null id; an empty
+    table stays empty; clashing names can't arise, as a row travels as one struct.
     """
-    kept = near_duplicates(spark, docs, STAGE_PERCENT).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__id"), "left").filter("doc_id is null or __id is not null").select(*docs.columns)
+    t = Scratch(spark, "minhash-stage")
+    gone = t.cut(near_duplicates(spark, docs, STAGE_PERCENT).filter("not kept").select("doc_id").distinct(), "gone")
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = rows.join(gone, F.col("id") == F.col("doc_id"), "left_anti")
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
