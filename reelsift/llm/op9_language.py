@@ -5,13 +5,16 @@ training documents are summed by Spark; the tables are hash arrays in sorted
 order, probed by binary search.  Beyond ``MAX_GRAMS`` the same model is fitted and
 looked up as tables, by joins; no count is left out either way.  A document goes
 to the language of the lowest cross-entropy per character; it is *rejected* when
-even that one lies above a limit calibrated on training documents kept out of the
-counts.
-
-Edge cases: null text or text without a letter gives ``und``, score 0, rejected;
-a null id is never held out but is not learned from either; without any training
-row every document is ``und``; equal entropies go to the first language by name.
-Extra columns are ignored.
+even that one lies above a limit: the entropy that a stated share of the labelled
+documents of that language and like length exceeds, measured on training documents
+kept out of the counts.
+
+Edge cases: null text or text without a letter (``str.isalpha``; digits, other
+numerals and marks alone aren't letters) gives ``und``, score 0, rejected; a null id
+is never held out but is not learned from either; repeated ids are judged row by
+row; very long texts are scored whole, in pieces; without any training row every
+document is ``und``; equal entropies go to the first language by name; an empty
+table gives an empty result.  Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelsift.llm.common import Scratch, held_out_column, mix64, read_table, tune
 
@@ -32,15 +36,26 @@ ORDER = 4
 #: Characters scored or counted at once.
 CHUNK = 1_000_000
 #: Most 4-grams that go to the driver; beyond it the model stays in tables.
-MAX_GRAMS = 4_000_000
+MAX_GRAMS = 2_000_000
 #: Sharpness of the reported score.
 SHARPNESS = 10.0
+#: Share of a language's own documents that its limit may reject, by length.
+REJECT = 0.001
+#: Least characters of each class of length, and the calibration rows that a class needs for a limit of its own.
+LENGTHS, LEAST = (0, 24, 64, 192, 768), 1000
+#: Bits a character that the limit of a class with fewer rows lies above all that was seen.
+SLACK = 1.0
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def clean(text: str | None) -> str:
     """Lower case, runs of anything but letters as one blank; '' without a letter."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    if not text:
+        return ""
+    out = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    if out and not out.replace(" ", "").isalpha():  # numerals that are no decimal digits
+        out = " ".join("".join(c if c.isalpha() else " " for c in out).split())
+    return out
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -155,7 +170,7 @@ class KneserNey:
 class LanguageModel:
     langs: list[str]
     models: list[KneserNey]
-    limits: dict[str, float] = field(default_factory=dict)
+    limits: dict[tuple[str, int], float] = field(default_factory=dict)
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Bits a character of cleaned, non-empty texts under each language."""
@@ -192,8 +207,8 @@ def document_grams(df: DataFrame) -> DataFrame:
             new = {"grams": pa.array([g.view(np.int64) for g, _ in found], pa.list_(pa.int64())), "ns": pa.array([n for _, n in found], pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict({c: b.column(c) for c in keep} | new)
 
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.mapInArrow(run, f"{kinds}, grams array<long>, ns array<long>")
+    longs = T.ArrayType(T.LongType())
+    return df.mapInArrow(run, T.StructType([df.schema[c] for c in keep]).add("grams", longs).add("ns", longs))
 
 
 @dataclass
@@ -210,7 +225,7 @@ class StoredModel:
     floors: list[float]
     probs: list[DataFrame]
     weights: list[DataFrame]
-    limits: dict[str, float] = field(default_factory=dict)
+    limits: dict[tuple[str, int], float] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, scratch: Scratch, counts: DataFrame) -> StoredModel:
@@ -269,14 +284,14 @@ class StoredModel:
         each = rows.select("__row", F.explode(F.arrays_zip("grams", "ns")).alias("x")).select("__row", F.col("x.grams").alias("gram"), F.col("x.ns").alias("n"))
         lps = self.log_probs(each.select("gram").distinct())
         bits = F.array(*[-F.sum(F.col("n") * F.col("lps")[i].cast("double")) / F.sum("n") for i in range(len(self.langs))])
-        sums = each.join(lps, "gram").groupBy("__row").agg(bits.alias("h"))
+        sums = each.join(lps, "gram").groupBy("__row").agg(bits.alias("h"), F.sum("n").alias("letters"))
         low = F.array_min("h")
         total = F.aggregate("h", F.lit(0.0), lambda a, x: a + F.pow(F.lit(2.0), -SHARPNESS * (x - low)))
         second = F.array_sort("h")[1] if len(self.langs) > 1 else low + 1.0
         pred = F.element_at(F.array(*map(F.lit, self.langs)), F.array_position("h", low).cast("int"))
-        sums = sums.select("__row", pred.alias("lang_pred"), (1.0 / total).alias("score"), low.alias("cross_entropy"), second.alias("runner_up"))
+        sums = sums.select("__row", pred.alias("lang_pred"), (1.0 / total).alias("score"), low.alias("cross_entropy"), second.alias("runner_up"), "letters")
         out = rows.select("__row", *keep).join(sums, "__row", "left")
-        return out.select(*keep, F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"), "cross_entropy", "runner_up")
+        return out.select(*keep, F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"), "cross_entropy", "runner_up", F.coalesce("letters", F.lit(0).cast("long")).alias("letters"))
 
 
 def fit(spark: SparkSession, scratch: Scratch, rows: DataFrame, max_grams: int | None = None) -> LanguageModel | StoredModel:
@@ -297,7 +312,7 @@ def fit(spark: SparkSession, scratch: Scratch, rows: DataFrame, max_grams: int |
     return LanguageModel(langs, models)
 
 
-def _scored(model_box, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+def _scored(model_box, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, list[int]]:
     model: LanguageModel = model_box.value
     cleaned = [clean(t) for t in texts]
     some = [i for i, c in enumerate(cleaned) if c]
@@ -312,52 +327,70 @@ def _scored(model_box, texts: list[str | None]) -> tuple[list[str], np.ndarray,
         second[some] = np.sort(h, 1)[:, 1] if h.shape[1] > 1 else low + 1.0
         for i, a in zip(some, at):
             pred[i] = model.langs[a]
-    return pred, score, best, second
+    return pred, score, best, second, [len(c.encode("utf-16-le", "surrogatepass")) // 2 + 1 if c else 0 for c in cleaned]
 
 
 def score_frame(model_box, df: DataFrame) -> DataFrame:
-    """Adds lang_pred, score, cross_entropy, runner_up to (row columns..., text), dropping text."""
+    """Adds lang_pred, score, cross_entropy, runner_up, letters (characters scored) to (row columns..., text), dropping text."""
     keep = [c for c in df.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            pred, score, best, second = _scored(model_box, b.column("text").to_pylist())
+            pred, score, best, second, letters = _scored(model_box, b.column("text").to_pylist())
             cols = {c: b.column(c) for c in keep}
-            yield pa.RecordBatch.from_pydict(cols | {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score), "cross_entropy": pa.array(best, from_pandas=True), "runner_up": pa.array(second, from_pandas=True)})
+            yield pa.RecordBatch.from_pydict(cols | {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score), "cross_entropy": pa.array(best, from_pandas=True), "runner_up": pa.array(second, from_pandas=True), "letters": pa.array(letters, pa.int64())})
+
+    out = T.StructType([df.schema[c] for c in keep])
+    for name, kind in (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("cross_entropy", T.DoubleType()), ("runner_up", T.DoubleType()), ("letters", T.LongType())):
+        out = out.add(name, kind)
+    return df.mapInArrow(run, out)
+
 
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.mapInArrow(run, f"{kinds}, lang_pred string, score double, cross_entropy double, runner_up double")
+def length_class(letters: Column) -> Column:
+    out = F.lit(0)
+    for k, least in enumerate(LENGTHS):
+        out = F.when(letters >= least, F.lit(k)).otherwise(out)
+    return out
 
 
-def calibrate(model: LanguageModel | StoredModel, rows: DataFrame, quantile: float = 0.9999, slack: float = 1.0) -> None:
-    """Sets each language's limit from labelled rows that the counts haven't seen.
+def calibrate(model: LanguageModel | StoredModel, rows: DataFrame, rate: float = REJECT, least: int = LEAST) -> None:
+    """Sets the limits from labelled rows that the counts haven't seen: by language and length class.
 
-    The limit is the larger of the given quantile of right-language entropies and
-    the middle between those and the runners-up, plus ``slack`` bits: documents
-    of a learned language stay, even very short ones; others lie above.
+    A class with ``least`` rows takes the entropy that a share of ``rate`` of its
+    right-language documents exceeds.  One with fewer can't show so small a share;
+    its limit lies ``SLACK`` above all that the language's rows have.
     """
     if not model.langs:
         return
-    out = model.score(rows.select("lang", "text")).filter("lang = lang_pred")
-    for r in out.groupBy("lang").agg(F.percentile_approx("cross_entropy", F.lit(quantile), F.lit(10000)).alias("q"), F.percentile_approx("cross_entropy", 0.99).alias("a"), F.percentile_approx("runner_up", 0.01).alias("b")).collect():
-        if r["q"] is not None:
-            model.limits[r["lang"]] = max(r["q"], (r["a"] + max(r["a"], r["b"])) / 2) + slack
+    out = model.score(rows.select("lang", "text")).filter("lang = lang_pred").withColumn("k", length_class(F.col("letters")))
+    found = out.groupBy("lang", "k").agg(F.count("*").alias("n"), F.percentile_approx("cross_entropy", F.lit(1.0 - rate), F.lit(10_000)).alias("q"), F.max("cross_entropy").alias("top")).collect()
+    for lang in {r["lang"] for r in found}:
+        mine = {r["k"]: r for r in found if r["lang"] == lang}
+        top = max(r["top"] for r in mine.values()) + SLACK
+        for k in range(len(LENGTHS)):
+            model.limits[lang, k] = mine[k]["q"] if k in mine and mine[k]["n"] >= least else top
 
 
-def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, cross_entropy, rejected) of every row of docs."""
+def judged(spark: SparkSession, docs: DataFrame, *keep: Column | str) -> DataFrame:
+    """Kept columns of docs with held_out, lang_pred, score, cross_entropy, rejected of every row."""
     tune(spark)
     scratch = Scratch(spark, "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    labelled = docs.filter("text is not null and lang is not null and doc_id is not null")
+    labelled = docs.filter("text is not null and lang is not null and doc_id is not null").select("doc_id", "lang", "text")
     model = fit(spark, scratch, labelled.filter(fold > 1))
     calibrate(model, labelled.filter(fold == 1))
-    out = model.score(docs.select("doc_id", held_out_column().alias("held_out"), "text"))
+    rows = docs.select(*keep, held_out_column().alias("held_out"), "text")
+    out = model.score(rows)
     limit = F.lit(None).cast("double")
-    for lang, v in model.limits.items():
-        limit = F.when(F.col("lang_pred") == lang, F.lit(float(v))).otherwise(limit)
+    for (lang, k), v in sorted(model.limits.items()):
+        limit = F.when((F.col("lang_pred") == lang) & (length_class(F.col("letters")) == k), F.lit(float(v))).otherwise(limit)
     rejected = (F.col("lang_pred") == "und") | F.coalesce(F.col("cross_entropy") > limit, F.lit(False))
-    return out.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", rejected.alias("rejected"))
+    return out.withColumn("rejected", rejected).drop("runner_up", "letters")
+
+
+def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, cross_entropy, rejected) of every row of docs."""
+    return judged(spark, docs, "doc_id")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,10 +398,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rows whose language is unknown or rejected go.
+    """Pipeline stage: rows whose language is unknown or rejected go; ``lang`` of the others becomes the predicted one.
 
-    Row decisions are joined by doc_id; a null id has none and its row is scored
-    under a null-safe key.
+    Each row travels through the scorer as one struct and is judged by itself, so
+    there is no join: repeated and null ids, and columns of any name, do no harm.
+    Null and letterless texts go; an empty table stays empty.
     """
-    found = identify(spark, docs).groupBy("doc_id").agg(F.min("rejected").alias("__rejected")).withColumnRenamed("doc_id", "__id")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left").filter("not __rejected").select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    out = judged(spark, docs, row).filter("not rejected")
+    return out.select(*[(F.col("lang_pred") if c == "lang" else F.col("row")[c]).alias(c) for c in docs.columns])
