@@ -5,13 +5,16 @@ character 3- to 5-grams (with word ends), and the class log-odds of word and gra
 Forward and backward gated recurrent units read windows of 24 words that start
 every 16 words and at the end, attention pools their states, and a document
 scores as its most toxic window does, on a scale fitted to the training
-documents.  Training runs in numpy on a bounded sample of labelled documents;
-scoring covers every window of every text.
+documents.  Training runs in numpy on a bounded sample of labelled documents, of
+which every window may teach; scoring covers every window of every text.
 
 Edge cases: null text or text without a word scores the training share of toxic
 documents, cut at 0.49; a null id is not held out and not learned from; repeated
-ids give one row each; without toxic or without clean labels every score is 0; an
-empty table gives an empty result; extra columns are ignored.
+ids give one row each, and learn by their smallest text; an id labelled both ways
+counts as toxic; very long texts are scored whole, some windows at a time; of tied
+windows the first teaches; without toxic or without clean labels every score is 0;
+an empty table gives an empty result; extra columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -32,10 +35,12 @@ HIDDEN, ATTENTION, EMBED = 8, 8, 4
 BUCKETS, ODDS_BUCKETS = 1 << 15, 1 << 18
 GRAM_SIZES = (3, 4, 5)
 #: Most clean and toxic labelled documents to learn from, those of the smallest id hashes.
-SAMPLE = (3500, 1500)
+SAMPLE = (2500, 1000)
+#: Most bytes of their texts together; a text that doesn't fit what is left of them is passed over whole.
+SAMPLE_BYTES = 48 << 20
 EPOCHS, BATCH, RATE = 10, 256, 0.01
-#: Windows of a training document that may teach, those of the largest log-odds.
-BAG = 8
+#: Epochs after which all windows of all training documents are scored anew to choose those that teach.
+RESCORE = (0, 2, 5, 9)
 #: Words a worker remembers.
 WORDS = 150_000
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -270,33 +275,27 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
     keep = [i for i, d in enumerate(docs) if d]
     docs, toxic = [docs[i] for i in keep], toxic[keep]
     odds = Odds.fit(docs, toxic)
-    bags: list[list[list[bytes]]] = []
-    for at in range(0, len(docs), 100):  # a few documents' words at a time
-        seen, part = Inputs(odds), docs[at : at + 100]
-        rows = [window_rows(seen.index(d)) for d in part]
-        fixed = np.concatenate([np.zeros((1, _FIXED), np.float32), seen.take()[0]])
-        for d, r in zip(part, rows):
-            rank = fixed[r][..., :2].max(-1).max(-1) + 0.1 * fixed[r][..., 0].sum(-1)
-            best = np.sort(np.argsort(-rank, kind="stable")[:BAG])
-            bags.append([d[s : s + WINDOW] for s in windows(len(d))[best]])
     inputs, net, rng = Inputs(odds), Network(seed), np.random.default_rng(seed)
-    rows = np.concatenate([window_rows(inputs.index(w)) for bag in bags for w in bag])
+    each = [window_rows(inputs.index(d)) for d in docs]
+    rows = np.concatenate(each)
+    heads = np.cumsum([0, *(len(r) for r in each)])[:-1]
+    del each
     part = inputs.take()
     fixed, wb, gb, owner = part
-    heads = np.cumsum([0, *(len(b) for b in bags)])[:-1]
     moments: dict = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     pad = lambda x: np.concatenate([np.zeros((1, DIM), np.float32), x])
     ends = np.append(heads[1:], len(rows))
-    score = np.concatenate([np.zeros((1, _FIXED), np.float32), fixed])[rows][..., :2].max(-1).max(-1) + 0.1 * np.concatenate([[0], fixed[:, 0]])[rows].sum(1)
+    top, lone = np.concatenate([[0], fixed[:, :2].max(1)]), np.concatenate([[0], fixed[:, 0]])  # until the network is trained, by log-odds
+    score = np.concatenate([top[r].max(1) + 0.1 * lone[r].sum(1) for r in np.array_split(rows, max(1, len(rows) // 4096))])
     gram_order = np.argsort(owner, kind="stable")
     gram_start = np.searchsorted(owner[gram_order], np.arange(len(fixed) + 1))
-    for _ in range(epochs):
+    for epoch in range(epochs):
         chosen, y = [], []
         for a, b, t in zip(heads, ends, toxic):
-            top = a + np.argsort(-score[a:b])[: 1 if t else 2]
-            chosen += top.tolist()
-            y += [float(t)] * len(top)
+            best = a + np.argsort(-score[a:b], kind="stable")[: 1 if t else 2]
+            chosen += best.tolist()
+            y += [float(t)] * len(best)
         chosen, y = np.array(chosen), np.array(y, np.float32)
         balance = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
         order = rng.permutation(len(chosen))
@@ -322,7 +321,8 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS, seed: int =
                 m += 0.1 * (grad - m)
                 v += 0.002 * (grad * grad - v)
                 net.p[k] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.998**step)) + 1e-6)
-        score = _all_logits(net, pad(_word_inputs(net, part)), rows)
+        if epoch in RESCORE or epoch == epochs - 1:
+            score = _all_logits(net, pad(_word_inputs(net, part)), rows)
     best = np.maximum.reduceat(score, heads).astype(float)
     slope, shift = 1.0, 0.0
     w = np.where(toxic == 1, 0.5 / toxic.sum(), 0.5 / (1 - toxic).sum())
@@ -388,19 +388,23 @@ class Scorer:
         out[[i for i, _ in group]] = _sigmoid(self.m.slope * best.astype(float) + self.m.shift)
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model | None:
-    """From docs (doc_id, text) and labels (doc_id, toxic): at most ``sample`` documents of each class.
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model | None:
+    """From docs (doc_id, text) and labels (doc_id, toxic): at most ``sample`` documents of each class and ``most_bytes`` of text.
 
-    The ids are chosen first; only the texts of the sample reach the driver.
+    The ids are chosen first, by a hash; only the texts of the sample reach the driver.
     """
-    known = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
+    known = docs.groupBy("doc_id").agg(F.min(F.octet_length("text")).alias("size")).join(labels, "doc_id")
     ids = []
     for y in (0, 1):
-        ids += [(r["doc_id"], y) for r in known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[y]).select("doc_id").collect()]
+        left = most_bytes // 2
+        for r in known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[y]).select("doc_id", "size").collect():
+            if r["size"] <= left:
+                left -= r["size"]
+                ids.append((r["doc_id"], y))
     if len({y for _, y in ids}) < 2:
         return None
     chosen = F.broadcast(spark.createDataFrame(ids, "doc_id long, toxic int"))
-    rows = docs.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    rows = docs.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.octet_length("text"), "text")).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows]))
 
 
