@@ -44,6 +44,8 @@ WINDOW = 50
 ANCHOR = 8
 #: Words of one group that a subtree may hold; larger groups take full-depth prefixes.
 GROUP_WORDS = 200_000
+#: Most full-depth nodes that are broadcast to their rows, some 12 MB; more of them are joined.
+MAX_NODES = 500_000
 #: Words ranked at once by a task (whole groups).
 TASK_WORDS = 500_000
 
@@ -241,6 +243,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     trees = segments.filter("not deep").select("key", "doc", "tag", "lo", "hi", "words").repartition("key").sortWithinPartitions("key").mapInArrow(_subtrees, "doc long, tag long, lo long, hi long")
     deep = segments.filter("deep").select("key", "more", "doc", "tag", "lo")
     nodes = t.cut(deep.groupBy("key", "more").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("key", "more", "low"), "nodes")
+    if nodes.count() <= MAX_NODES:  # 24 bytes each
+        nodes = F.broadcast(nodes)
     deep = deep.join(nodes, ["key", "more"]).filter("doc > low").select("doc", "tag", "lo", (F.col("lo") + WINDOW).alias("hi"))
     spans = t.cut(trees.union(deep), "spans")
     t.drop("segments")

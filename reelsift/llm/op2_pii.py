@@ -9,8 +9,9 @@ classifier is trained on the posteriors.  It is applied as one Column expression
 to the candidates that aren't base spans.
 
 Offsets are code points, end exclusive.  Edge cases: null text counts as empty,
-with no spans; every input row gives one row, repeated or null ids included; an
-empty table gives an empty result; extra columns are ignored.  Patterns use
+with no spans; every input row gives one row, repeated or null ids included; spans
+that start together stand in the order of their kinds; an empty table gives an
+empty result; extra columns are ignored, whatever their names.  Patterns use
 possessive repeats and look-behinds where these can't change a match, so that
 long texts need neither deep stacks nor quadratic rescans.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from reelsift.llm.common import Scratch, read_table
 
 BASE = ("email", "ip", "card", "phone")
-MORE = ("phone_local", "national_id", "name")
+MORE = ("phone_local", "national_id", "name", "secret")
 KINDS = BASE + MORE
 #: Pattern and the text without which it can't match.
 PATTERNS = {
@@ -34,15 +35,17 @@ PATTERNS = {
     "ip": (r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "."),
     "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}(?![\x20-]?[0-9])", ""),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
-    "phone_local": (r"(?<![0-9+(.-])(?<![0-9][\x20-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])", "-"),
+    "phone_local": (r"(?<![0-9+(.-])(?<![0-9][\x20-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?!\.?[0-9]|[\x20-][0-9])", ""),
     "national_id": (r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z.-])", "-"),
     "name": (r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Sr|Sra|Don)\.?\x20\p{Lu}\p{Ll}{2,20}\x20\p{Lu}\p{Ll}{2,20}\b", ""),
+    "secret": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+", ""),
 }
 #: Fixed word lists of the labelers.
 TOP_DOMAINS = "com|org|net|edu|gov|info|io|de|fr|es|uk|eu|us|ca|ch|at|it|nl|be|pt|mx|ar|br|au|jp|cn|in|ru|pl|se|no|dk|fi"
 DIAL_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 FIRST_NAMES = "Anna|Maria|Marie|John|Jean|Juan|Hans|Peter|Pierre|Pedro|Paul|Pablo|James|Mary|Robert|Michael|Thomas|David|Daniel|Sarah|Laura|Julia|Carlos|Jose|Luis|Carmen|Sophie|Camille|Claire|Klaus|Stefan|Sabine|Petra|Susan|Linda|William|Richard|Elena|Lucia"
-NEAR_WORDS = r"(?i)(?:e-?mail|mail|contact|write|kontakt|correo|courriel|phone|call|tel|fon|mobile|handy|t[eé]l[eé]fono|t[eé]l[eé]phone|fax|card|karte|carte|tarjeta|visa|address|adresse|direcci[oó]n|host|server|login|ssn|social|name)\W{0,12}$"
+NEAR_WORDS = r"(?i)(?:e-?mail|mail|contact|write|kontakt|correo|courriel|phone|call|tel|fon|mobile|handy|t[eé]l[eé]fono|t[eé]l[eé]phone|fax|card|karte|carte|tarjeta|visa|address|adresse|direcci[oó]n|host|server|login|ssn|social|name|token|key|secret|passwor[dt]|pwd|bearer|contrase[nñ]a)\W{0,12}$"
+KEY_HEADS = "AKIA|ASIA|AIza|gh[pousr]_|sk-|xox[abp]-|eyJ"
 FAR_WORDS = r"(?i)(?:version|release|isbn|issn|page|seite|chapter|kapitel|section|figure|table|order|invoice|item|total|sum|ratio|doi)\W{0,6}$"
 VOTES = ("shape", "gazetteer", "context", "edge", "filler")
 
@@ -82,6 +85,7 @@ _VOTE = {
         when 'ip' then if(rlike(x.m, r'(?:^|\.)0[0-9]'), -1, 1)
         when 'card' then if(rlike(x.m, r'^[0-9]{13,19}$|^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}$'), 1, 0)
         when 'phone' then if(rlike(x.m, r'^\+[0-9]{1,3}[ -]?\(?[0-9]'), 1, 0)
+        when 'secret' then if(rlike(x.m, r'^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})$') or (rlike(x.m, '[a-z]') and rlike(x.m, '[A-Z]')), 1, -1)
         when 'name' then 0 else 1 end""",
     "gazetteer": rf"""case x.kind
         when 'email' then if(rlike(x.m, r'\.(?:{TOP_DOMAINS})$'), 1, 0)
@@ -90,6 +94,7 @@ _VOTE = {
         when 'phone' then if(rlike(x.m, r'^\+(?:{DIAL_CODES})'), 1, -1)
         when 'phone_local' then if(rlike(x.m, r'^\(?[2-9]'), 1, -1)
         when 'national_id' then if(rlike(x.m, r'^(?:000|666|9)|-00-|-0000$'), -1, 1)
+        when 'secret' then if(rlike(x.m, r'^(?:{KEY_HEADS})'), 1, 0)
         else if(rlike(x.m, r'\b(?:{FIRST_NAMES})\b'), 1, -1) end""",
     "context": f"case when rlike({_BEFORE}, {_raw(NEAR_WORDS)}) then 1 when rlike({_BEFORE}, {_raw(FAR_WORDS)}) then -1 else 0 end",
     "edge": rf"if(rlike({_BEFORE}, r'[\p{{L}}\p{{N}}_]$') or rlike({_AFTER}, r'^[\p{{L}}\p{{N}}_]'), -1, 1)",
@@ -188,7 +193,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cands.select("doc_id", accepted(fit(cands)).alias("a"))
     base = "filter(a, x -> x.base)"
     counts = [F.expr(f"cast(size(filter(a, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in BASE]
-    return out.select("doc_id", *counts, F.sha2(F.expr(_JOINED.format(base)), 256).alias("base_sha256"), F.expr(_JOINED.format("a")).alias("spans"))
+    more = F.expr("cast(size(filter(a, x -> not x.base)) as bigint)").alias("n_more")
+    return out.select("doc_id", *counts, F.sha2(F.expr(_JOINED.format(base)), 256).alias("base_sha256"), F.expr(_JOINED.format("a")).alias("spans"), more)
 
 
 def redacted() -> Column:
@@ -201,9 +207,12 @@ def redacted() -> Column:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every row stays, its spans masked and n_chars counted anew; null texts stay null."""
+    """Pipeline stage: every row stays, its spans masked and n_chars counted anew; null texts stay null.
+
+    A row travels as one struct, so extra columns of any name come through as they are.
+    """
     scratch = Scratch(spark, "pii-stage")
-    base = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
     cands = scratch.cut(candidates(base, "row", "t"), "candidates")
     out = cands.withColumn("a", accepted(fit(cands.select("c"))))
     text = F.when(F.col("row.text").isNull() | (F.size("a") == 0), F.col("row.text")).otherwise(redacted())

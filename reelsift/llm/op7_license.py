@@ -5,12 +5,15 @@ file's tokens stream through it: after each token the state and length tell the
 longest suffix of the file so far that occurs in some template (the matching
 statistics).  Matches that can't be extended and are long enough are chained per
 template, in order and with bounded gaps, and their covered template spans decide
-on labels.  Base phrases are read off the same walk: a phrase ends wherever its
-state is the current one or a suffix-link ancestor of it.
+on labels: a chain's score is the number of template tokens that it covers, and the
+best chains that don't share words of the file are taken in turn.  Base phrases are
+read off the same walk: a phrase ends wherever its state is the current one or a
+suffix-link ancestor of it.
 
 Edge cases: null text has no words; a row without a place has null first and last
-words, empty labels and score 0; repeated and null ids give one row each; an empty
-table gives an empty result; extra columns are ignored.
+words, empty labels and score 0; very long texts are streamed whole; of chains tied
+in score the earlier one is taken; repeated and null ids give one row each; an empty
+table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,19 +28,21 @@ from reelsift.llm.common import read_table, tune
 
 #: Fixed phrases and their labels.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
-#: Fixed template texts (public licences, their grants or notices).
+#: Public licence texts, and the notices by which works are put under a licence.
 TEMPLATES = (
-    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
-    ("apache-2-notice", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
-    ("bsd-text", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
-    ("gpl-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
-    ("isc-text", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("mpl-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    ("zlib-text", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely."),
-    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
-    ("cc-by-nc-notice", "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License"),
-    ("cc-by-notice", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-sa-notice", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License"),
+    ("mit-text", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("apache-2-notice", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("bsd-text", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("gpl-notice", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see https://www.gnu.org/licenses/."""),
+    ("gpl-3-line", """This work is licensed under the GNU General Public License, version 3."""),
+    ("isc-text", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("mpl-notice", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("zlib-text", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("cc-by-nc-notice", """This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"""),
+    ("cc-by-notice", """This work is licensed under a Creative Commons Attribution 4.0 International License"""),
+    ("cc-by-sa-notice", """This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"""),
+    ("cc0-notice", """To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work"""),
 )
 #: Shortest match that may join a chain, largest gap inside one, and the covered share that gives a label.
 MIN_MATCH, MAX_GAP, MIN_COVER = 4, 12, 0.6
@@ -164,33 +169,41 @@ class Scanner:
         return {"n_words": len(words), "places": sorted(places), "spans": self.chained(matches)}
 
     def chained(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Colinear chains by template: (label, first word, end, covered share of the template)."""
-        open_: dict[int, list] = {}
-        done = []
-
-        def close(s: int) -> None:
-            first, end, _, got = open_.pop(s)
-            done.append((self.templates[s][1], first, end, got / self.sizes[s]))
+        """The best colinear chains by template: (label, first word, end, covered share of the template).
 
+        ``matches`` are (first word, end, state) by growing end.  In a chain the
+        ends grow in the file and in the template, gaps of the file are bounded,
+        and each match counts the template tokens that it adds.
+        """
+        by_template: dict[int, list[tuple[int, int, int]]] = {}
         for a, b, v in matches:
-            for s in sorted({s for s, _ in self.auto.where[v] if s < len(self.templates)}):
-                tos = [e for t, e in self.auto.where[v] if t == s]
-                if s in open_ and a - open_[s][1] > MAX_GAP:
-                    close(s)
-                if s in open_:
-                    _, _, at, got = open_[s]
-                    later = [e for e in tos if e > at]
-                    if later:
-                        fresh = min(b - a, later[0] - at)
-                        open_[s] = [open_[s][0], b, later[0], got + fresh]
-                        continue
-                    if b - a <= got:
-                        continue
-                    close(s)
-                open_[s] = [a, b, tos[0], b - a]
-        for s in list(open_):
-            close(s)
-        return sorted((x for x in done if x[3] >= MIN_COVER), key=lambda x: (x[1], x[0]))
+            for s, e in self.auto.where[v]:
+                if s < len(self.templates):
+                    by_template.setdefault(s, []).append((a, b, e))
+        out = []
+        for s, items in by_template.items():
+            best: list[tuple[int, int, int]] = []  # score, first word, the match before
+            low = 0
+            for j, (a, b, e) in enumerate(items):
+                now = (b - a, a, -1)
+                while a - items[low][1] > MAX_GAP:  # neither starts nor ends ever shrink: what is too far stays so
+                    low += 1
+                for i in range(low, j):
+                    a0, b0, e0 = items[i]
+                    if a0 < a and b0 < b and e0 < e and a - b0 <= MAX_GAP:
+                        got = best[i][0] + min(b - max(a, b0), e - max(e - (b - a), e0))
+                        if got > now[0]:
+                            now = (got, best[i][1], i)
+                best.append(now)
+            taken: list[tuple[int, int]] = []
+            for j in sorted(range(len(items)), key=lambda j: (-best[j][0], items[j][1])):
+                score, first, _ = best[j]
+                if score / self.sizes[s] < MIN_COVER:
+                    break
+                if all(items[j][1] <= x or first >= y for x, y in taken):
+                    taken.append((first, items[j][1]))
+                    out.append((self.templates[s][1], first, items[j][1], score / self.sizes[s]))
+        return sorted(out, key=lambda x: (x[1], x[0]))
 
 
 def scanned(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -1,29 +1,35 @@
 """Quality rules whose cutoffs carry a risk guarantee.
 
 Rules compare ratios of a document (symbols, repeated lines, repeated words, long
-and short words) with cutoffs of its language.  Labelled documents are the
-holdout.  For each language and rule the cutoffs are tested from lenient to strict
-with the exact binomial tail: the cutoff holds while the chance of so few good
-documents beyond it, were their true share ``ALPHA``, stays below the level.
-Testing in that order needs no correction within a rule; across rules and
-languages the level is divided by their number (Bonferroni).  Among the cutoffs
-that hold, the one that best parts bad from good is taken, if any does.
+and short words) with cutoffs of its stratum, its language.  A third of the labelled
+documents (by a hash of the id) designs a path of rule sets from lenient to strict:
+step k lets every rule reject at most the k-th share of ``PATH`` of the third's good
+documents.  The other two thirds are the holdout.  There each step is tested as one
+whole, all of its rules together: it holds while the exact binomial chance of so
+few good documents rejected, were their true share ``ALPHA``, stays below the
+stratum's level.  Steps are tested in order and the first failure ends the path, so
+that needs no correction; across strata ``LEVEL`` is divided by their number
+(Bonferroni).  With probability 1 - ``LEVEL`` no stratum's rules, taken together,
+reject more than ``ALPHA`` of its good documents.  Of the steps that hold the one
+that best parts bad from good in the design third is taken, if any does.  A stratum
+needs about log(LEVEL / strata) / log(1 - ALPHA) good holdout labels (436 for four
+strata) before any step can hold; with fewer, its base rule stands alone.
 
 Edge cases: null text has no words and fails; a language without labels, and a
 null one, has no cutoffs beyond the base rule; rows with null or repeated ids give
-one row each; a label counts once an id (0 if any says 0); an empty table or no
-labels give base verdicts alone; extra columns are ignored.
+one row each; a label counts once an id (0 if any says 0); a document at a cutoff
+stays; very long texts are read whole; an empty table or no labels give base
+verdicts alone; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.llm.common import Scratch, WordHash, raw_words, read_table, rolling
@@ -31,8 +37,10 @@ from reelsift.llm.common import Scratch, WordHash, raw_words, read_table, rollin
 RUN = 5
 SYMBOLS = "#*$%&|<>"
 BINS = 100
-#: Share of good documents of a language that one rule may reject, and the error level of all tests together.
+#: Share of good documents of a stratum that all its rules together may reject, and the error level of all tests together.
 ALPHA, LEVEL = 0.01, 0.05
+#: Shares of the design third's good documents that each rule may reject, step by step.
+PATH = (0.0, 0.0005, 0.001, 0.002, 0.004)
 #: Weight of a good document's rejection against a bad one's when a cutoff is chosen.
 CARE = 20.0
 _GAPS = str.maketrans("", "", " \t\n\x0b\x0c\r")
@@ -86,30 +94,91 @@ def tail(n: int, k: int, p: float) -> float:
     return min(1.0, sum(map(math.exp, logs)))
 
 
-def cutoffs(table: list[tuple[str, str, int, int, int]], alpha: float = ALPHA, level: float = LEVEL) -> dict[tuple[str, str], int]:
-    """(stratum, rule) to the largest bin that stays, from rows (stratum, rule, bin, quality, count)."""
-    good, bad = defaultdict(lambda: [0] * BINS), defaultdict(lambda: [0] * BINS)
-    for stratum, rule, bin_, quality, n in table:
-        (good if quality else bad)[stratum, rule][bin_] += n
-    tests = sorted(good)
+Steps = list[dict[str, int]]
+
+
+def path(table: list[tuple[str, str, int, int, int]]) -> dict[str, Steps]:
+    """By stratum, the cutoffs (rule to the largest bin that stays) of each step, from design rows (stratum, rule, bin, quality, count)."""
+    out: dict[str, Steps] = {}
+    for stratum in sorted({r[0] for r in table}):
+        good = {r: [0] * BINS for r in RULES}
+        for s, rule, bin_, quality, n in table:
+            if s == stratum and quality:
+                good[rule][bin_] += n
+        steps = []
+        for share in PATH:
+            cuts = {}
+            for rule, g in good.items():
+                beyond, cut = 0, BINS - 1
+                while cut > 0 and beyond + g[cut] <= share * sum(g):
+                    beyond += g[cut]
+                    cut -= 1
+                if cut < BINS - 1 and sum(g):
+                    cuts[rule] = cut
+            steps.append(cuts)
+        out[stratum] = steps
+    return out
+
+
+def rejected(cuts: dict[str, int], bin_of: dict[str, Column]) -> Column:
+    bad = F.lit(False)
+    for rule, cut in sorted(cuts.items()):
+        bad = bad | (bin_of[rule] > cut)
+    return bad
+
+
+def certified(good: int, lost: list[int], strata: int, alpha: float = ALPHA, level: float = LEVEL) -> int:
+    """How many leading steps hold for a stratum whose holdout has ``good`` documents, of which step k rejects ``lost[k]``."""
+    for k, n in enumerate(lost):
+        if tail(good, n, alpha) > level / strata:
+            return k
+    return len(lost)
+
+
+def choose(steps: dict[str, Steps], tests: dict[str, tuple[int, list[int]]], design: dict[str, list[tuple[int, int]]], sizes: dict[str, tuple[int, int]], alpha: float = ALPHA, level: float = LEVEL) -> dict[str, dict[str, int]]:
+    """The cutoffs taken by stratum.
+
+    tests: good holdout documents and those each step rejects; design: good and bad
+    ones of the design third that each step rejects; sizes: good and bad in it.
+    """
     out = {}
-    for key in tests:
-        g, b = good[key], bad[key] if key in bad else [0] * BINS
-        n, m = sum(g), sum(b)
-        best, beyond, caught = (0.0, None), 0, 0
-        for cut in range(BINS - 2, -1, -1):  # from lenient to strict
-            beyond += g[cut + 1]
-            caught += b[cut + 1]
-            if tail(n, beyond, alpha) > level / len(tests):
-                break
-            gain = caught / max(m, 1) - CARE * beyond / n
+    for stratum, some in steps.items():
+        good, lost = tests.get(stratum, (0, [0] * len(some)))
+        best: tuple[float, dict[str, int]] = (0.0, {})
+        for k in range(certified(good, lost, len(steps), alpha, level)):
+            (g, b), (n, m) = design[stratum][k], sizes[stratum]
+            gain = b / max(m, 1) - CARE * g / max(n, 1)
             if gain > best[0] + 1e-12:
-                best = (gain, cut)
-        if best[1] is not None:
-            out[key] = best[1]
+                best = (gain, some[k])
+        if best[1]:
+            out[stratum] = best[1]
     return out
 
 
+def cutoffs(held: DataFrame, alpha: float = ALPHA, level: float = LEVEL) -> dict[str, dict[str, int]]:
+    """From labelled rows (lang, quality, design boolean, a bin by rule); the driver sees sums by stratum, rule, bin and step."""
+    pairs = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("bin")) for r in RULES])
+    table = held.filter("design").select("lang", "quality", F.explode(pairs).alias("x")).groupBy("lang", "x.rule", "x.bin", "quality").count().collect()
+    steps = path([(r["lang"], r["rule"], r["bin"], r["quality"], r["count"]) for r in table])
+    if not steps:
+        return {}
+    bin_of = {r: F.col(r) for r in RULES}
+    first = F.lit(len(PATH))  # the step that rejects a row first; later ones do as well
+    for stratum, some in steps.items():
+        for k in reversed(range(len(PATH))):
+            if k == 0 or some[k] != some[k - 1]:
+                first = F.when((F.col("lang") == stratum) & rejected(some[k], bin_of), F.lit(k)).otherwise(first)
+    seen = held.select("lang", "design", "quality", first.alias("first")).groupBy("lang", "design", "quality", "first").count().collect()
+
+    def of(stratum: str, design: bool, quality: int) -> tuple[int, list[int]]:
+        mine = [(r["first"], r["count"]) for r in seen if (r["lang"], r["design"], r["quality"]) == (stratum, design, quality)]
+        return sum(n for _, n in mine), [sum(n for f, n in mine if f <= k) for k in range(len(PATH))]
+
+    good, bad = {s: of(s, True, 1) for s in steps}, {s: of(s, True, 0) for s in steps}
+    tests = {s: of(s, False, 1) for s in steps}
+    return choose(steps, tests, {s: list(zip(good[s][1], bad[s][1])) for s in steps}, {s: (good[s][0], bad[s][0]) for s in steps}, alpha, level)
+
+
 def judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, level: float = LEVEL) -> DataFrame:
     """Counts, base_failed and kept of every row of docs (doc_id, text, lang)."""
     t = Scratch(spark, "quality")
@@ -117,14 +186,14 @@ def judged(spark: SparkSession, docs: DataFrame, labels: DataFrame, alpha: float
     rows = docs.select("doc_id", "lang", "text").mapInArrow(_count, kinds)
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = t.cut(rows.withColumn("base_failed", base), "counts")
-    one = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    pairs = ", ".join(f"struct('{r}' as rule, {e} as bin)" for r, e in RULES.items())
-    held = rows.filter("lang is not null and not base_failed").join(one, "doc_id").select("lang", "quality", F.explode(F.expr(f"array({pairs})")).alias("x"))
-    table = held.groupBy("lang", "x.rule", "x.bin", "quality").count().collect()
-    cuts = cutoffs([(r["lang"], r["rule"], r["bin"], r["quality"], r["count"]) for r in table], alpha, level)
+    one = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    third = F.crc32(F.concat(F.lit("design:"), F.col("doc_id").cast("string")).cast("binary")) % 3 == 0
+    bin_of = {r: F.expr(e) for r, e in RULES.items()}
+    held = rows.filter("lang is not null and not base_failed").join(one, "doc_id")
+    held = t.cut(held.select("lang", "quality", third.alias("design"), *[c.alias(r) for r, c in bin_of.items()]), "held")
     bad = F.lit(False)
-    for (lang, rule), cut in sorted(cuts.items()):
-        bad = bad | (F.coalesce(F.col("lang") == lang, F.lit(False)) & (F.expr(RULES[rule]) > cut))
+    for lang, cuts in sorted(cutoffs(held, alpha, level).items()):
+        bad = bad | (F.coalesce(F.col("lang") == lang, F.lit(False)) & rejected(cuts, bin_of))
     return rows.withColumn("kept", ~F.col("base_failed") & ~bad)
 
 
