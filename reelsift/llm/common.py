@@ -11,6 +11,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -46,21 +47,29 @@ def scratch_root(spark: SparkSession) -> str:
 class Scratch:
     """Tables of one run of one operator, each written once and read again."""
 
+    #: Seconds between two collections of the driver's garbage, on which Spark frees shuffle files.
+    GARBAGE_S = 4.0
+    _last = 0.0
+
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
+        self.written = 0
         tune(spark)
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Writes ``df`` and returns the stored table; frees its shuffle files."""
-        path = f"{self.base}/{name}-{len(self.paths)}"
+        path = f"{self.base}/{name}-{self.written}"
+        self.written += 1
         df.write.option("compression", "zstd").parquet(path)
         self.paths[name] = path
         out = self.spark.read.schema(df.schema).parquet(path)
         del df
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        if time.monotonic() - Scratch._last > self.GARBAGE_S:
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            Scratch._last = time.monotonic()
         return out
 
     def drop(self, *names: str) -> None:
@@ -70,7 +79,6 @@ class Scratch:
             if path := self.paths.pop(name, None):
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-                self.paths[f"{name} (gone) {len(self.paths)}"] = ""
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -161,8 +169,10 @@ def maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 def connected_components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     """(id, comp) for the ends of ``links`` (a, b): comp is the smallest id reachable.
 
-    Minimum-label propagation with pointer jumping; every round is a written
-    table, the driver sees one flag a round.  No links give an empty table.  A hub
+    Minimum labels go over each link to its end and to that end's own label, so that
+    whole classes join at once, and labels of labels are taken: rounds grow with the
+    logarithm of a class's size.  Every round is a written table, the driver sees
+    one flag a round.  No links give an empty table.  A hub
     or a giant component makes one join key hot: nothing above those joins relies
     on their partitioning, so adaptive execution splits such a key's rows.
     """
@@ -170,7 +180,8 @@ def connected_components(scratch: Scratch, links: DataFrame, name: str) -> DataF
     labels = scratch.cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), f"{name}-labels0")
     turn = 0
     while True:
-        near = edges.join(labels.withColumnsRenamed({"id": "b", "comp": "c"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("m"))
+        told = edges.join(labels.withColumnsRenamed({"id": "b", "comp": "c"}), "b").join(labels.withColumnsRenamed({"id": "a", "comp": "own"}), "a")
+        near = told.select(F.explode(F.array_distinct(F.array("a", "own"))).alias("id"), "c").groupBy("id").agg(F.min("c").alias("m"))
         step = labels.join(near, "id").select("id", F.least("comp", "m").alias("next"), F.col("comp").alias("old"))
         jump = labels.select(F.col("id").alias("next"), F.col("comp").alias("far"))
         new = step.join(jump, "next").select("id", F.least("next", "far").alias("comp"), (F.least("next", "far") < F.col("old")).alias("moved"))

@@ -145,15 +145,21 @@ def rake_frame(scratch: Scratch, cells: DataFrame, rounds: int, targets: Targets
     return cells
 
 
-def scale_of_frame(cells: DataFrame, goal: float) -> float:
-    """The factor c of ``calibrated`` for a table of cells, by halving an interval."""
-    lo, hi = 0.0, 1.0
-    drawn = lambda c: cells.agg(F.sum(F.least(F.col("tokens").cast("double"), F.lit(c) * F.col("w")))).first()[0] or 0.0
-    while drawn(hi) < goal * (1 - 1e-12) and hi < 1e12:
-        hi *= 2
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if drawn(mid) < goal else (lo, mid)
+def scale_of_frame(cells: DataFrame, goal: float, parts: int = 64) -> float:
+    """The factor c of ``calibrated`` for a table of cells, by cutting an interval into parts; each cut is one aggregation."""
+
+    def drawn(cs: list[float]) -> list[float]:
+        row = cells.agg(*[F.sum(F.least(F.col("tokens").cast("double"), F.lit(c) * F.col("w"))) for c in cs]).first()
+        return [x or 0.0 for x in row]
+
+    powers = [2.0**k for k in range(-20, 41)]
+    enough = [c for c, x in zip(powers, drawn(powers)) if x >= goal * (1 - 1e-12)]
+    hi = enough[0] if enough else powers[-1]
+    lo = hi / 2 if enough and hi > powers[0] else 0.0
+    for _ in range(8):
+        cs = [lo + (hi - lo) * k / parts for k in range(1, parts + 1)]
+        k = next((k for k, x in enumerate(drawn(cs[:-1])) if x >= goal), parts - 1)
+        lo, hi = lo + (hi - lo) * k / parts, cs[k]
     return hi
 
 
@@ -188,15 +194,20 @@ def weighted(rows: DataFrame, cells: DataFrame) -> DataFrame:
     return rows.join(cells.select(F.struct(*DIMS).alias("of"), "weight", "probability"), same, "left").drop("of")
 
 
-def op1_mixing(spark: SparkSession, sf_dir: str, targets: Targets | None = None) -> DataFrame:
+def mixed(spark: SparkSession, docs: DataFrame, targets: Targets | None = None, budget: float = BUDGET) -> DataFrame:
+    """(doc_id, source, lang, topic, n_tokens, weight, probability, sampled) of every row of docs."""
     scratch = Scratch(spark, "mixing")
-    rows = scratch.cut(features(read_table(spark, sf_dir, "documents"), "doc_id"), "features")
-    out = weighted(rows, cell_table(spark, scratch, rows, targets=targets))
+    rows = scratch.cut(features(docs, "doc_id"), "features")
+    out = weighted(rows, cell_table(spark, scratch, rows, budget, targets=targets))
     names = [F.col(f"cell.{d}").alias(d) for d in DIMS]
     sampled = draw(F.col("kept.doc_id")) < F.col("probability")
     return out.select("kept.doc_id", *names, F.col("cell.tokens").alias("n_tokens"), F.round("weight", 6).alias("weight"), F.round("probability", 6).alias("probability"), sampled.alias("sampled"))
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(spark, read_table(spark, sf_dir, "documents"))
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the drawn rows stay, whole.
 

@@ -186,9 +186,10 @@ def accepted(weights: dict[str, float]) -> Column:
 _JOINED = "array_join(transform({}, x -> concat(x.kind, ':', x.s, ':', x.e)), ',')"
 
 
-def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+def found(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_more) of every row of docs (doc_id, text)."""
     scratch = Scratch(spark, "pii")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     cands = scratch.cut(candidates(docs, "doc_id"), "candidates")
     out = cands.select("doc_id", accepted(fit(cands)).alias("a"))
     base = "filter(a, x -> x.base)"
@@ -197,6 +198,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(F.expr(_JOINED.format(base)), 256).alias("base_sha256"), F.expr(_JOINED.format("a")).alias("spans"), more)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return found(spark, read_table(spark, sf_dir, "documents"))
+
+
 def redacted() -> Column:
     """``t`` with the spans ``a`` replaced by their kind in brackets; overlaps join."""
     return F.expr("""aggregate(a, struct(0 as at, '' as out),

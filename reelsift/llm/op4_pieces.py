@@ -108,7 +108,7 @@ def compile_map(rules: dict[bytes, bytes]) -> bytes:
 
     if rules:
         place(0, b"", sorted(rules))
-    size = max(units) + 256
+    size = -(-(max(units) + 256) // 256) * 256  # whole kilobytes
     return struct.pack(f"<I{size}I", size * 4, *(units.get(i, 0) for i in range(size))) + strings
 
 

@@ -12,7 +12,7 @@ that needs no correction; across strata ``LEVEL`` is divided by their number
 (Bonferroni).  With probability 1 - ``LEVEL`` no stratum's rules, taken together,
 reject more than ``ALPHA`` of its good documents.  Of the steps that hold the one
 that best parts bad from good in the design third is taken, if any does.  A stratum
-needs about log(LEVEL / strata) / log(1 - ALPHA) good holdout labels (436 for four
+needs about log(LEVEL / strata) / log(1 - ALPHA) good holdout labels (437 for four
 strata) before any step can hold; with fewer, its base rule stands alone.
 
 Edge cases: null text has no words and fails; a language without labels, and a
