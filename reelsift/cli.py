@@ -3,38 +3,52 @@
 from __future__ import annotations
 
 import argparse
+import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelsift import scratch
 from reelsift.functions import text
-from reelsift.operators import dedupe, export, gates, measures, report, scenes, training
+from reelsift.operators import captioning, dedupe, export, gates, measures, report, scenes, training
 from reelsift.schema import AppConfig, load_config
-from reelsift.sources import manifest
+from reelsift.sources import frames, manifest
 
 
-def process_folder(spark: SparkSession, folder: str, cfg: AppConfig, probe=None) -> DataFrame:
-    """Manifest rows of a folder.
+def process_folder(spark: SparkSession, folder: str, cfg: AppConfig, decode: frames.Decoder = frames.image_folders, transport: captioning.Transport | None = None, boxes: DataFrame | None = None) -> DataFrame:
+    """Manifest rows of a folder of clips.
 
-    ``probe`` decodes videos: a function of the listing that gives image rows
-    (clip_id, frame_pos, height, width, nChannels, data) and metadata (clip_id,
-    duration_sec, fps, width, height, frame_count).
+    ``decode`` reads the clips (``sources.frames``).  Scorer, text detector and
+    captioner are those that the configuration names: detectors take ready ``boxes``
+    by clip, remote captioners a ``transport``.  Frames are read once, and measured
+    once.
     """
-    if probe is None:
-        raise SystemExit("no video decoder is installed; pass one to process_folder(probe=...)")
-    files = manifest.list_videos(spark, folder).select(text.clip_id(F.col("path")).alias("clip_id"), F.col("path").alias("source_path"))
-    frames, meta = probe(files, cfg.pipeline.sample_frames)
-    m = measures.measured(frames)
+    files, images, meta = decode(spark, folder, cfg.pipeline.sample_frames, 24.0)
+    base = scratch.folder(spark, "process")
+    files, meta = scratch.cut(files, f"{base}/files"), scratch.cut(meta, f"{base}/meta")
+    images = scratch.cut(images, f"{base}/images")
+    m = scratch.cut(measures.measured(images), f"{base}/measured")
     clip = measures.clip_quality(m).withColumnRenamed("text_area_score", "ocr_text_area_ratio")
-    hashes = dedupe.clip_hash(m.select("clip_id", F.conv("frame_hash", 16, -10).cast("long").alias("h")))
-    light = m.groupBy("clip_id").agg(F.avg("mean_pixel").alias("mean_pixel"))
+    parts = [measures.motion_metrics(measures.flow(images)), dedupe.clip_hash(m.select("clip_id", F.conv("frame_hash", 16, -10).cast("long").alias("h"))), m.groupBy("clip_id").agg(F.avg("mean_pixel").alias("mean_pixel"))]
+    detector = measures.text_detector(str(cfg.ocr.get("provider", "proxy")), cfg.ocr.get("min_confidence"))
+    if detector is not None and boxes is not None:
+        clip = clip.drop("ocr_text_area_ratio")
+        parts.append(detector(boxes).withColumnRenamed("text_ratio", "ocr_text_area_ratio"))
+    provider = str(cfg.aesthetic.get("provider", "none"))
+    if provider.lower() == "heuristic":
+        parts.append(measures.aesthetic_scorer(provider)(m))
     out = files.join(meta, "clip_id")
-    for part in (clip, measures.motion_metrics(measures.flow(frames)), hashes, light):
+    for part in (clip, *parts):
         out = out.join(part, "clip_id", "left")
+    if "aesthetic_score" not in out.columns:
+        out = out.withColumn("aesthetic_score", F.lit(None).cast("double"))
     out = out.withColumn("motion_caption", text.motion_sentence(F.col("motion_score")))
-    out = out.withColumn("caption", text.plain_caption(F.col("mean_pixel"), F.col("motion_caption")))
-    return manifest.with_position(gates.gated(out, cfg.quality, "caption").orderBy("source_path"))
+    name = str(cfg.captioning.get("provider", "heuristic"))
+    if name.lower() != "heuristic":
+        out = out.withColumn("messages", text.openai_messages(F.col("motion_caption"), F.array().cast("array<string>")))
+    out = captioning.captioned(out, name, transport)
+    return manifest.numbered(gates.gated(out, cfg.quality, "caption").orderBy("source_path"))
 
 
 def _session() -> SparkSession:
@@ -66,20 +80,20 @@ def main(argv: list[str] | None = None) -> int:
             c.add_argument(flag, action="store_true") if v is False else c.add_argument(flag, default=v, type=type(v) if v is not None else str)
         return c
 
-    command("process-video", "path", output="outputs/manifest", config=None)
-    command("process-folder", "path", output="outputs/manifest", config=None)
+    command("process-video", "path", decoder="", output="outputs/manifest", config=None)
+    command("process-folder", "path", decoder="", output="outputs/manifest", config=None)
     command("split-scenes", "scores", config=None, output="outputs/scenes", dry_run=False)
     command("dedupe-manifest", "path", output="outputs/manifest_deduped", threshold=6)
     command("summarize-manifest", "path", output="outputs/dataset_summary.md")
-    command("benchmark-folder", "path", output="outputs/pipeline_benchmark.json", config=None)
+    command("benchmark-folder", "path", decoder="", output="outputs/pipeline_benchmark.json", config=None)
     command("benchmark-inference", output="outputs/inference_benchmark.json", markdown_output="outputs/inference_benchmark.md")
     command("benchmark-training", output="outputs/training_benchmark.json", markdown_output="outputs/training_benchmark.md", samples=512, batch_size=32, epochs=1)
-    command("prepare-diffusion-lora-data", "path", output_dir="outputs/diffusion_lora_dataset", report="outputs/diffusion_lora_plan.md", json_report="outputs/diffusion_lora_dataset.json", frames_per_clip=1, max_clips=0, caption_prefix="", steps=120, batch_size=1, rank=8)
+    command("prepare-diffusion-lora-data", "path", output_dir="outputs/diffusion_lora_dataset", report="outputs/diffusion_lora_plan.md", json_report="outputs/diffusion_lora_dataset.json", frames_per_clip=1, max_clips=0, allow_missing=False, caption_prefix="", steps=120, batch_size=1, rank=8)
     a = p.parse_args(argv)
     spark = _session()
     if a.command in ("process-video", "process-folder", "benchmark-folder"):
         began = time.time()
-        rows = process_folder(spark, a.path, load_config(a.config))
+        rows = scratch.cut(process_folder(spark, a.path, load_config(a.config), frames.decoder(a.decoder)), f"{scratch.folder(spark, 'rows')}/rows")
         if a.command == "benchmark-folder":
             report.write_json(a.output, [r.asDict() for r in report.throughput(rows, time.time() - began).collect()])
         else:
@@ -105,11 +119,15 @@ def main(argv: list[str] | None = None) -> int:
         report.write_text(a.markdown_output, report.table_markdown("Training Benchmark", [row]))
     else:
         clips = export.selected(manifest.read_manifest(spark, a.path), a.max_clips or None)
-        names = clips.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(a.frames_per_clip - 1))).alias("frame_pos"), "caption", "motion_caption")
+        clips = scratch.cut(export.resolved(clips, export.listed(spark, clips), [os.path.dirname(os.path.abspath(a.path)), os.getcwd()]), f"{scratch.folder(spark, 'export')}/clips")
+        n = export.counts(clips, a.frames_per_clip).first().asDict()
+        if n["skipped_clip_count"] and not a.allow_missing:
+            raise SystemExit(f"{n['skipped_clip_count']} clips have no source file; --allow-missing leaves them out")
+        there = clips.filter("found is not null")
+        names = there.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(a.frames_per_clip - 1))).alias("frame_pos"), "caption", "motion_caption")
         export.metadata(names, a.caption_prefix).write.mode("overwrite").json(f"{a.output_dir}/metadata")
         plan = training.LoraCommand(train_data_dir=a.output_dir, steps=a.steps, batch_size=a.batch_size, rank=a.rank)
-        n = clips.count()
-        report.write_json(a.json_report, {"output_dir": a.output_dir, "source_clip_count": n, "image_count": n * a.frames_per_clip})
+        report.write_json(a.json_report, {"output_dir": a.output_dir, **n})
         report.write_text(a.report, f"# LoRA Plan\n\n```\n{plan.shell()}\n```\n")
     return 0
 

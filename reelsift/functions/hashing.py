@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def median(values: Column) -> Column:
     """Median of an array, the mean of the middle two for even sizes."""
-    s, n = F.array_sort(values), F.size(values)
-    return (F.element_at(s, F.floor((n + 1) / 2).cast("int")) + F.element_at(s, F.floor(n / 2).cast("int") + 1)) / 2
+    n = F.size(values)
+    return let(F.array_sort(values), lambda s: (F.element_at(s, F.floor((n + 1) / 2).cast("int")) + F.element_at(s, F.floor(n / 2).cast("int") + 1)) / 2)
 
 
 def bits(pixels: Column) -> Column:
     """'1' where a pixel is at least the median, first pixel first."""
-    m = median(pixels)
-    return F.array_join(F.transform(pixels, lambda x: F.when(x >= m, "1").otherwise("0")), "")
+    return let(pixels, lambda p: let(median(p), lambda m: F.array_join(F.transform(p, lambda x: F.when(x >= m, "1").otherwise("0")), "")))
 
 
 def hex_of(bit_text: Column, size: int = 8) -> Column:

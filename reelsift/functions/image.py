@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelsift.functions.hashing import let
+
 
 def grey(frame: np.ndarray) -> np.ndarray:
     """Luma of a BGR frame, rounded to 8 bits."""
@@ -127,8 +129,7 @@ def mean_of(gray: Column) -> Column:
 
 def spread_of(gray: Column) -> Column:
     """Population standard deviation, two passes."""
-    m = mean_of(gray)
-    return F.sqrt(F.aggregate(gray, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / F.size(gray))
+    return let(gray, lambda g: let(mean_of(g), lambda m: F.sqrt(F.aggregate(g, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / F.size(g))))
 
 
 def blur_of(gray: Column, side: int) -> Column:
@@ -136,8 +137,7 @@ def blur_of(gray: Column, side: int) -> Column:
     mirror = lambda i: -i if i < 0 else 2 * (side - 1) - i if i >= side else i
     at = lambda y, x: F.element_at(gray, mirror(y) * side + mirror(x) + 1)
     lap = F.array(*[at(y - 1, x) + at(y + 1, x) + at(y, x - 1) + at(y, x + 1) - 4 * at(y, x) for y in range(side) for x in range(side)])
-    s = spread_of(lap)
-    return s * s
+    return let(spread_of(lap), lambda s: s * s)
 
 
 def box_area_ratio(boxes: Column, frame_area: Column, least_conf: float) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift.functions import text
@@ -22,6 +22,20 @@ def resolved(clips: DataFrame, files: DataFrame, folders: list[str]) -> DataFram
     return clips.join(best, "row_pos", "left")
 
 
+def listed(spark: SparkSession, clips: DataFrame) -> DataFrame:
+    """(path) of the files in the folders that the clips' own paths name, one listing a folder."""
+    own = F.coalesce(*[text.filled(F.col(c)) for c in ("source_path", "clip_path", "video_path") if c in clips.columns])
+    folders = [r[0] for r in clips.select(F.regexp_extract(own, "^(.*)/[^/]*$", 1).alias("f")).filter("f <> ''").distinct().collect()]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            found += [(f.getPath().toString(),) for f in fs.listStatus(path)]
+    return spark.createDataFrame(found, "path string")
+
+
 def selected(manifest: DataFrame, most: int | None = None) -> DataFrame:
     """Kept rows in order, then the first ``most`` of them."""
     out = manifest.filter(F.coalesce("keep", F.lit(True))).orderBy("row_pos")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reelsift.functions import image
+from reelsift.functions.hashing import let
 from reelsift.ship import ship
 
 QUALITY = ("blur", "brightness", "contrast", "colorfulness", "text_area")
@@ -45,8 +46,8 @@ def _dot(v: Column, weights: list[float]) -> Column:
 
 
 def _unit(v: Column) -> Column:
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(v, lambda x: x / F.greatest(norm, F.lit(1e-6)))
+    norm = F.greatest(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)), F.lit(1e-6))
+    return let(norm, lambda n: F.transform(v, lambda x: x / n))
 
 
 def linear_head(frames: DataFrame, weights: list[float], bias: float) -> DataFrame:

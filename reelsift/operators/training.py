@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelsift import fixed
+from reelsift.functions.hashing import let
 
 
 def features(columns: list[str], size: int = 16) -> Column:
@@ -26,11 +27,11 @@ def contrastive_loss(batches: DataFrame, scale: float) -> DataFrame:
 
     A batch's members meet its other members only; batches are small by contract.
     """
-    unit = lambda v: F.transform(v, lambda x: x / F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, y: a + y * y)))
+    unit = lambda v: let(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, y: a + y * y)), lambda n: F.transform(v, lambda x: x / n))
     rows = batches.select("batch", "i", unit(F.col("video")).alias("v"), unit(F.col("text")).alias("t"))
     whole = rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("i", "v", "t"))).alias("m"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) * scale
-    lse = lambda xs: F.log(F.aggregate(xs, F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max(xs)))) + F.array_max(xs)
+    lse = lambda v: let(v, lambda xs: let(F.array_max(xs), lambda top: F.log(F.aggregate(xs, F.lit(0.0), lambda s, x: s + F.exp(x - top))) + top))
     each = whole.select("batch", "m", F.explode("m").alias("r"))
     row = F.transform("m", lambda o: dot(F.col("r.v"), o["t"]))
     col = F.transform("m", lambda o: dot(o["v"], F.col("r.t")))

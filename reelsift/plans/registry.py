@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift import fixed
+from reelsift import fixed, scratch
 from reelsift.functions import hashing, image, text
 from reelsift.operators import captioning, dedupe, export, gates, measures, report, review, scenes, training
 from reelsift.schema import QualityConfig
@@ -172,8 +170,7 @@ def stable_clip_id(spark, sf):
 
 @query(f"with {_CLIPS} select * from (select clip_id, round(duration_sec, 6) duration_sec, fps, keep, array_to_string(r, ',') reasons from c)")
 def manifest_roundtrip(spark, sf):
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="reelsift-")
-    path = f"{root.rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    path = scratch.folder(spark, "roundtrip")
     manifest.write_manifest(_clips(spark, sf), path)
     return _joined(manifest.read_manifest(spark, path).withColumn("duration_sec", F.round("duration_sec", 6)), "clip_id", "duration_sec", "fps", "keep")
 

@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from reelsift import fixed
 from reelsift.schema import MANIFEST, REQUIRED
 
 
-def with_position(df: DataFrame) -> DataFrame:
-    """Adds ``row_pos``: grows with file order and line order; computed once, at the scan."""
+#: Rows of a file split that ``row_pos`` has room for, in bits, and splits whose places are broadcast.
+SPLIT_BITS, MAX_SPLITS = 33, 100_000
+
+
+def with_position(scan: DataFrame) -> DataFrame:
+    """Adds ``row_pos`` to a file scan: grows with file name, then with the line's place in the file.
+
+    Spark packs file splits into tasks by size, so a plain running number follows
+    neither.  The place is the split's rank among all (file, first byte) above the
+    running number within its task, which grows along a split.
+    """
+    split = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__byte")]
+    splits = scan.select(*split).distinct()
+    ranks = splits.select("__file", "__byte", (F.row_number().over(Window.orderBy("__file", "__byte")) - 1).cast("long").alias("__rank"))
+    if splits.count() <= MAX_SPLITS:
+        ranks = F.broadcast(ranks)
+    rows = scan.select("*", *split, F.monotonically_increasing_id().alias("__n"))
+    place = F.shiftleft("__rank", SPLIT_BITS).bitwiseOR(F.col("__n").bitwiseAND((1 << SPLIT_BITS) - 1))
+    return rows.join(ranks, ["__file", "__byte"]).withColumn("row_pos", place).drop("__file", "__byte", "__n", "__rank")
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Adds ``row_pos`` to an ordered table that is no file scan."""
     return df.withColumn("row_pos", F.monotonically_increasing_id())
 
 
@@ -29,11 +51,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
             broken = broken | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
         if f.name in REQUIRED:
             broken = broken | F.col(f.name).isNull()
-    # The check rides on a column that every later plan keeps.
-    checked = F.when(F.coalesce(broken, F.lit(False)), F.raise_error(F.concat(F.lit("invalid manifest row: "), F.coalesce("_bad", "clip_id", F.lit("?")))).cast("string")).otherwise(F.col("clip_id"))
-    out = raw.select(*[checked.alias("clip_id") if f.name == "clip_id" else c for f, c in zip(MANIFEST, cols)])
-    out = out.withColumn("reject_reasons", F.coalesce("reject_reasons", F.array().cast("array<string>")))
-    return with_position(out)
+    # The check is a filter, which no later plan may leave out, whatever columns it uses.
+    told = F.raise_error(F.concat(F.lit("invalid manifest row: "), F.coalesce("_bad", "clip_id", F.lit("?"))))
+    sound = with_position(raw).filter(F.when(F.coalesce(broken, F.lit(False)), told.cast("boolean")).otherwise(F.lit(True)))
+    out = sound.select(*cols, "row_pos")
+    return out.withColumn("reject_reasons", F.coalesce("reject_reasons", F.array().cast("array<string>")))
 
 
 def write_manifest(df: DataFrame, path: str, mode: str = "overwrite") -> None:

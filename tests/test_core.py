@@ -1,4 +1,5 @@
 import json
+import math
 import random
 import re
 
@@ -6,11 +7,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reelsift import fixed
+from reelsift import cli, fixed, schema
 from reelsift.functions import hashing, image, text
 from reelsift.operators import captioning, dedupe, export, gates, measures, report, review, scenes, training
 from reelsift.schema import AppConfig, QualityConfig, SceneSplitConfig, config_from
-from reelsift.sources import fixtures, manifest
+from reelsift.sources import fixtures, frames, manifest
+from reelsift.streaming import append
 
 
 def one(spark, column, **values):
@@ -262,12 +264,98 @@ def test_commands(spark, tmp_path):
         f = np.zeros((64, 64, 3), np.uint8)
         f[10:30, 10:30] = 255
         raw = files.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("frame_pos"))
-        frames = raw.select("clip_id", F.col("frame_pos").cast("long"), F.lit(64).alias("height"), F.lit(64).alias("width"), F.lit(3).alias("nChannels"), F.lit(bytearray(f.tobytes())).alias("data"))
+        images = raw.select("clip_id", F.col("frame_pos").cast("long"), F.lit(64).alias("height"), F.lit(64).alias("width"), F.lit(3).alias("nChannels"), F.lit(bytearray(f.tobytes())).alias("data"))
         meta = files.select("clip_id", F.lit(2.0).alias("duration_sec"), F.lit(24.0).alias("fps"), F.lit(512).alias("width"), F.lit(512).alias("height"), F.lit(48).alias("frame_count"))
-        return frames, meta
+        return images, meta
 
     (tmp_path / "v/deep").mkdir(parents=True)
     for name in ("v/b.MP4", "v/deep/a.webm", "v/no.txt"):
         (tmp_path / name).write_bytes(b"x")
-    out = cli.process_folder(spark, str(tmp_path / "v"), AppConfig(), probe).collect()
+    out = cli.process_folder(spark, str(tmp_path / "v"), AppConfig(), frames.of_videos(probe)).collect()
     assert len(out) == 2 and all(r.reject_reasons == ["too_static"] and len(r.perceptual_hash) == 16 for r in out)
+
+
+def test_manifest_order_follows_files_and_lines(spark, tmp_path):
+    row = lambda k: json.dumps({"clip_id": f"c{k}", "source_path": f"/v/{k}.mp4", "duration_sec": 2.0, "width": 512, "height": 512, "fps": 24.0, "frame_count": 48, "keep": True, "reject_reasons": []})
+    sizes, k = (1, 50, 3, 400, 2), 0
+    for i, n in enumerate(sizes):
+        (tmp_path / f"part-{i}.json").write_text("\n".join(row(k + j) for j in range(n)) + "\n")
+        k += n
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = manifest.read_manifest(spark, str(tmp_path)).orderBy("row_pos").select("clip_id", "row_pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.clip_id for r in rows] == [f"c{j}" for j in range(k)] and len({r.row_pos for r in rows}) == k
+
+
+def test_broken_manifests_fail_whatever_is_read(spark, tmp_path):
+    good = {"clip_id": "a", "source_path": "/v/a.mp4", "duration_sec": 2.0, "width": 512, "height": 512, "fps": 24.0, "frame_count": 48, "keep": True}
+    for k, bad in enumerate(('{"keep": true}', "rubbish", json.dumps(good | {"width": "wide"}))):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(good) + "\n\n" + bad + "\n")
+        m = manifest.read_manifest(spark, str(path))
+        for use in (report.summary(m), m.select(F.count("*")), m.select("keep")):
+            with pytest.raises(Exception, match="invalid manifest row"):
+                use.collect()
+
+
+@pytest.mark.parametrize(("threshold", "bands"), [(0, 1), (3, 1), (6, 2), (6, 3), (6, 4), (7, 5), (18, 5), (18, 8)])
+def test_close_pairs_are_whole_with_any_banding(spark, threshold, bands):
+    rng = random.Random(threshold * 10 + bands)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    hs = {x for b in base for x in [b, *(b ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, threshold + 2))) for _ in range(6))]}
+    hs = [(h - (1 << 64) if h >> 63 else h, i) for i, h in enumerate(sorted(hs))]
+    if math.comb(64 // bands, threshold // bands // 2 + threshold // bands % 2) > 5000:
+        return
+    got = {(r.u, r.v, r.distance) for r in dedupe.close_pairs(spark.createDataFrame(hs, "h long, pos long"), threshold, bands).collect()}
+    mask = (1 << 64) - 1
+    want = {(i, j, d) for a, i in hs for b, j in hs if i < j and (d := ((a ^ b) & mask).bit_count()) <= threshold}
+    assert got == want
+
+
+def test_banding_follows_the_number_of_hashes():
+    assert [dedupe.banding(n, 6)[0] for n in (10**5, 10**6, 10**7)] == [4, 3, 2]
+
+
+def test_image_folder_to_manifest(spark, tmp_path):
+    import struct
+    import zlib
+
+    def png(path, value, w=300, h=280):
+        rows = b"".join(b"\0" + bytes((value + 7 * x + 3 * y) % 256 for x in range(w) for _ in range(3)) for y in range(h))
+        chunk = lambda t, d: struct.pack(">I", len(d)) + t + d + struct.pack(">I", zlib.crc32(t + d))
+        path.write_bytes(b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b""))
+
+    for clip, n in (("one", 30), ("two", 1)):
+        (tmp_path / "in" / clip).mkdir(parents=True)
+        for i in range(n):
+            png(tmp_path / "in" / clip / f"{i:03d}.png", 40 + i)
+    cfg = schema.config_from({"aesthetic": {"provider": "heuristic"}, "quality": {"min_aesthetic_score": 9.9}})
+    rows = cli.process_folder(spark, str(tmp_path / "in"), cfg).orderBy("row_pos").collect()
+    one, two = rows
+    assert one.source_path.endswith("/one") and (one.frame_count, one.width, one.height, one.duration_sec) == (30, 300, 280, 1.25)
+    assert one.blur_score > 0 and one.motion_score is not None and len(one.perceptual_hash) == 16 and "aesthetic_score_too_low" in one.reject_reasons
+    assert two.motion_score is None and {"motion_unavailable", "duration_too_short"} <= set(two.reject_reasons) and two.caption
+    cli.main(["process-folder", str(tmp_path / "in"), "--output", str(tmp_path / "m")])
+    assert manifest.read_manifest(spark, str(tmp_path / "m")).count() == 2
+    relaxed = review.relaxed(manifest.read_manifest(spark, str(tmp_path / "m"))).withColumn("source_path", F.concat("source_path", F.lit("/000.png")))
+    absent = relaxed.limit(1).withColumns({"clip_id": F.lit("gone"), "source_path": F.lit("/nowhere/x.mp4")})
+    manifest.write_manifest(relaxed.unionByName(absent), str(tmp_path / "r"))
+    out = ["prepare-diffusion-lora-data", str(tmp_path / "r"), "--output-dir", str(tmp_path / "d"), "--report", str(tmp_path / "p.md"), "--json-report", str(tmp_path / "p.json"), "--frames-per-clip", "2"]
+    with pytest.raises(SystemExit, match="no source file"):
+        cli.main(out)
+    cli.main([*out, "--allow-missing"])
+    got = json.loads((tmp_path / "p.json").read_text())
+    assert (got["image_count"], got["source_clip_count"], got["skipped_clip_count"]) == (4, 3, 1) and spark.read.json(str(tmp_path / "d" / "metadata")).count() == 4
+
+
+def test_stream_replay_and_anchors(spark, tmp_path):
+    row = lambda k, h: json.dumps({"clip_id": k, "source_path": "/v", "duration_sec": 5.0, "width": 512, "height": 512, "fps": 24.0, "frame_count": 48, "perceptual_hash": h, "motion_score": 2.0})
+    (tmp_path / "in").mkdir()
+    batches = ([row("a", "00000000000000ff"), row("b", "ffff000000000000")], [row("c", "00000000000000fe"), row("d", "0f0f0f0f0f0f0f0f")], [row("e", "0f0f0f0f0f0f0f0e"), row("f", "00000000000000fc")])
+    for k, lines in enumerate(batches):
+        (tmp_path / "in" / f"{k}.json").write_text("\n".join(lines))
+        append.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), threshold=4).awaitTermination()
+    got = {r.clip_id: r.duplicate_of for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert got == {"a": None, "b": None, "c": "a", "d": None, "e": "d", "f": "a"}
