@@ -9,9 +9,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelsift import scratch
+from reelsift import fixed, scratch
 from reelsift.functions import text
-from reelsift.operators import captioning, dedupe, export, gates, measures, report, scenes, training
+from reelsift.operators import captioning, dedupe, export, gates, measures, report, scenes, training, two_tower
 from reelsift.schema import AppConfig, load_config
 from reelsift.sources import frames, manifest
 
@@ -36,7 +36,7 @@ def process_folder(spark: SparkSession, folder: str, cfg: AppConfig, decode: fra
         clip = clip.drop("ocr_text_area_ratio")
         parts.append(detector(boxes).withColumnRenamed("text_ratio", "ocr_text_area_ratio"))
     provider = str(cfg.aesthetic.get("provider", "none"))
-    if provider.lower() == "heuristic":
+    if provider.lower() == "heuristic":  # the others score embeddings, which an embedding model must give
         parts.append(measures.aesthetic_scorer(provider)(m))
     out = files.join(meta, "clip_id")
     for part in (clip, *parts):
@@ -44,10 +44,18 @@ def process_folder(spark: SparkSession, folder: str, cfg: AppConfig, decode: fra
     if "aesthetic_score" not in out.columns:
         out = out.withColumn("aesthetic_score", F.lit(None).cast("double"))
     out = out.withColumn("motion_caption", text.motion_sentence(F.col("motion_score")))
-    name = str(cfg.captioning.get("provider", "heuristic"))
-    if name.lower() != "heuristic":
-        out = out.withColumn("messages", text.openai_messages(F.col("motion_caption"), F.array().cast("array<string>")))
-    out = captioning.captioned(out, name, transport)
+    name = str(cfg.captioning.get("provider", "heuristic")).lower()
+    if name != "heuristic":
+        most = int(cfg.captioning.get("max_keyframes", 4))
+        if name in fixed.REMOTE and transport is None:
+            transport, most = captioning.chat(cfg.captioning)
+        elif name == "groq":
+            most = min(most, fixed.REMOTE[name][-1])
+        out = out.join(captioning.key_frame_urls(images, most), "clip_id", "left")
+        urls = F.coalesce("urls", F.array().cast("array<string>"))
+        asked = text.openai_messages(F.col("motion_caption"), urls) if name in fixed.REMOTE else text.vlm_messages(F.col("motion_caption"), F.size(urls), str(cfg.captioning.get("model_family", "qwen2-vl")))
+        out = out.withColumn("messages", asked)
+    out = captioning.captioned(out, name, transport).drop("messages")
     return manifest.numbered(gates.gated(out, cfg.quality, "caption").orderBy("source_path"))
 
 
@@ -82,13 +90,13 @@ def main(argv: list[str] | None = None) -> int:
 
     command("process-video", "path", decoder="", output="outputs/manifest", config=None)
     command("process-folder", "path", decoder="", output="outputs/manifest", config=None)
-    command("split-scenes", "scores", config=None, output="outputs/scenes", dry_run=False)
+    command("split-scenes", "path", decoder="", scores=False, config=None, output="outputs/scenes", dry_run=False)
     command("dedupe-manifest", "path", output="outputs/manifest_deduped", threshold=6)
     command("summarize-manifest", "path", output="outputs/dataset_summary.md")
     command("benchmark-folder", "path", decoder="", output="outputs/pipeline_benchmark.json", config=None)
     command("benchmark-inference", output="outputs/inference_benchmark.json", markdown_output="outputs/inference_benchmark.md")
-    command("benchmark-training", output="outputs/training_benchmark.json", markdown_output="outputs/training_benchmark.md", samples=512, batch_size=32, epochs=1)
-    command("prepare-diffusion-lora-data", "path", output_dir="outputs/diffusion_lora_dataset", report="outputs/diffusion_lora_plan.md", json_report="outputs/diffusion_lora_dataset.json", frames_per_clip=1, max_clips=0, allow_missing=False, caption_prefix="", steps=120, batch_size=1, rank=8)
+    command("benchmark-training", output="outputs/training_benchmark.json", markdown_output="outputs/training_benchmark.md", samples=512, batch_size=32, epochs=1, manifest="", real=False)
+    command("prepare-diffusion-lora-data", "path", output_dir="outputs/diffusion_lora_dataset", report="outputs/diffusion_lora_plan.md", json_report="outputs/diffusion_lora_dataset.json", frames_per_clip=1, max_clips=0, allow_missing=False, caption_prefix="", frames="", decoder="", resolution=512, steps=120, batch_size=1, rank=8)
     a = p.parse_args(argv)
     spark = _session()
     if a.command in ("process-video", "process-folder", "benchmark-folder"):
@@ -100,7 +108,13 @@ def main(argv: list[str] | None = None) -> int:
             manifest.append_manifest(rows, a.output)
     elif a.command == "split-scenes":
         cfg = load_config(a.config).scene_split
-        s = spark.read.schema("video string, i long, v double").json(a.scores)
+        if a.scores:  # ready scores (video, i, v)
+            s = spark.read.schema("video string, i long, v double").json(a.path)
+        else:  # every frame of a folder of clips
+            files, images, _ = frames.decoder(a.decoder)(spark, a.path, frames.EVERY, 24.0)
+            named = files.select(F.col("clip_id").alias("video"), "source_path")
+            s = measures.content_scores(images).join(named, "video").select(F.col("source_path").alias("video"), "i", "v")
+        s = scratch.cut(s, f"{scratch.folder(spark, 'scenes')}/scores")
         seg = scenes.segments(scenes.cuts(s, cfg), s.groupBy("video").agg((F.max("i") + 1).alias("frames")), cfg)
         seg = seg.withColumn("command", scenes.cut_command(F.col("video"), F.col("clip_path"), F.col("start_sec"), F.col("end_sec"), cfg))
         seg.show(truncate=False) if a.dry_run else seg.write.mode("overwrite").json(a.output)
@@ -115,6 +129,9 @@ def main(argv: list[str] | None = None) -> int:
         report.write_text(a.markdown_output, report.table_markdown("Inference Benchmark", rows))
     elif a.command == "benchmark-training":
         row = training.training_estimate(a.samples, a.batch_size, a.epochs)
+        if a.real:
+            kept = manifest.training_rows(manifest.read_manifest(spark, a.manifest), a.samples) if a.manifest else manifest.synthetic_rows(spark, a.samples)
+            row, _ = two_tower.train(kept, two_tower.TwoTowerConfig(a.samples, a.batch_size, a.epochs))
         report.write_json(a.output, row)
         report.write_text(a.markdown_output, report.table_markdown("Training Benchmark", [row]))
     else:
@@ -124,9 +141,17 @@ def main(argv: list[str] | None = None) -> int:
         if n["skipped_clip_count"] and not a.allow_missing:
             raise SystemExit(f"{n['skipped_clip_count']} clips have no source file; --allow-missing leaves them out")
         there = clips.filter("found is not null")
-        names = there.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(a.frames_per_clip - 1))).alias("frame_pos"), "caption", "motion_caption")
+        if a.frames:  # the folder whose clips the manifest names: images are written, and counted as written
+            files, images, _ = frames.decoder(a.decoder)(spark, a.frames, a.frames_per_clip, 24.0)
+            named = files.withColumnsRenamed({"clip_id": "file", "source_path": "found"}).join(there.select("clip_id", "found"), "found").select("file", "clip_id")
+            images = images.withColumnRenamed("clip_id", "file").join(named, "file")
+            names = scratch.cut(export.write_images(images, a.output_dir, a.resolution), f"{scratch.folder(spark, 'written')}/files")
+            n = export.written_counts(clips, names).first().asDict()
+            names = names.join(there.select("clip_id", "caption", "motion_caption"), "clip_id")
+        else:
+            names = there.select("clip_id", F.explode(F.sequence(F.lit(0), F.lit(a.frames_per_clip - 1))).alias("frame_pos"), "caption", "motion_caption")
         export.metadata(names, a.caption_prefix).write.mode("overwrite").json(f"{a.output_dir}/metadata")
-        plan = training.LoraCommand(train_data_dir=a.output_dir, steps=a.steps, batch_size=a.batch_size, rank=a.rank)
+        plan = training.LoraCommand(train_data_dir=a.output_dir, resolution=a.resolution, steps=a.steps, batch_size=a.batch_size, rank=a.rank)
         report.write_json(a.json_report, {"output_dir": a.output_dir, **n})
         report.write_text(a.report, f"# LoRA Plan\n\n```\n{plan.shell()}\n```\n")
     return 0

@@ -51,3 +51,12 @@ NOTE_ATTENTION = "attention slicing lowers VRAM with small latency overhead"
 NOTE_VAE = "VAE slicing lowers decode memory"
 NOTE_COMPILE = "torch.compile estimate after warmup"
 NOTE_BASE = "dry-run baseline estimate"
+
+# --- fixed values: sizes of linear heads by variant --------------------------------
+HEAD_SIZES = {"vit_b_32": 512, "vit_b_16": 512, "vit_l_14": 768}
+
+# --- fixed values: remote captioners: address, model, key, size parameter, its value, most key frames
+REMOTE = {
+    "openai": ("https://api.openai.com/v1/chat/completions", "gpt-4o-mini", "OPENAI_API_KEY", "max_tokens", 160, 4),
+    "groq": ("https://api.groq.com/openai/v1/chat/completions", "qwen/qwen3.6-27b", "GROQ_API_KEY", "max_completion_tokens", 220, 3),
+}

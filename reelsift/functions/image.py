@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 from reelsift.functions.hashing import let
 
 
+def of_samples(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
+    """Raw samples as a frame: grey ones have two dimensions, an alpha channel is left off."""
+    f = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    return f[..., 0] if channels == 1 else f[..., :3]
+
+
 def grey(frame: np.ndarray) -> np.ndarray:
     """Luma of a BGR frame, rounded to 8 bits."""
     if frame.ndim == 2:
@@ -93,12 +99,31 @@ def frame_hash(frame: np.ndarray, size: int = 8) -> str:
     return f"{value:0{size * size // 4}x}"
 
 
+def signature_part(frame: np.ndarray) -> bytes:
+    """What one frame adds to a signature: its shape and its channel means in single precision."""
+    means = frame.reshape(-1, frame.shape[-1] if frame.ndim == 3 else 1).mean(0)
+    return str(frame.shape).encode() + means.astype(np.float32).tobytes()
+
+
 def frame_signature(frames: list[np.ndarray]) -> str:
-    h = hashlib.sha1()
-    for f in frames:
-        h.update(str(f.shape).encode())
-        h.update(f.reshape(-1, f.shape[-1] if f.ndim == 3 else 1).mean(0).astype(np.float32).tobytes())
-    return h.hexdigest()
+    return hashlib.sha1(b"".join(map(signature_part, frames))).hexdigest()
+
+
+def hsv(frame: np.ndarray) -> np.ndarray:
+    """Hue (0-179, half degrees), saturation and value of a BGR frame, in 8 bits."""
+    b, g, r = (frame.astype(np.float64),) * 3 if frame.ndim == 2 else (frame[..., i].astype(np.float64) for i in range(3))
+    top = np.maximum(np.maximum(b, g), r)
+    spread = top - np.minimum(np.minimum(b, g), r)
+    some = np.maximum(spread, 1)
+    sector = np.where(top == r, (g - b) / some, np.where(top == g, 2 + (b - r) / some, 4 + (r - g) / some))
+    hue = np.where(spread > 0, np.floor((sector * 30) % 180 + 0.5) % 180, 0)
+    saturation = np.floor(255 * spread / np.maximum(top, 1) + 0.5)
+    return np.stack([hue, saturation, top], -1).astype(np.uint8)
+
+
+def content_change(before: np.ndarray, after: np.ndarray) -> float:
+    """Mean over hue, saturation and value of their mean absolute differences."""
+    return float(np.abs(hsv(after).astype(np.int16) - hsv(before)).mean((0, 1)).mean())
 
 
 def block_motion(before: np.ndarray, after: np.ndarray, block: int = 8, reach: int = 7) -> float:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelsift.functions import image
+from reelsift import fixed
+from reelsift.functions import image, jpeg
 from reelsift.functions.hashing import let
 from reelsift.ship import ship
 
@@ -93,7 +96,7 @@ def measured(frames: DataFrame, decode: Decoder | None = None) -> DataFrame:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                f = decode(bytes(r.data)) if decode else np.frombuffer(bytes(r.data), np.uint8).reshape(r.height, r.width, r.nChannels)
+                f = decode(bytes(r.data)) if decode else image.of_samples(bytes(r.data), r.height, r.width, r.nChannels)
                 rows.append((r.clip_id, r.frame_pos, *image.frame_metrics(f).values(), image.frame_hash(f), float(f.mean())))
             yield pd.DataFrame(rows, columns=["clip_id", "frame_pos", *QUALITY, "frame_hash", "mean_pixel"])
 
@@ -109,12 +112,95 @@ def flow(frames: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            shape = lambda r, d: np.frombuffer(bytes(d), np.uint8).reshape(r.height, r.width, r.nChannels)
+            shape = lambda r, d: image.of_samples(bytes(d), r.height, r.width, r.nChannels)
             yield pd.DataFrame([(r.clip_id, image.block_motion(shape(r, r.before), shape(r, r.data))) for r in pdf.itertuples(index=False)], columns=["clip_id", "magnitude"])
 
     return pairs.select("clip_id", "height", "width", "nChannels", "before", "data").mapInPandas(run, "clip_id string, magnitude double")
 
 
+def _frame(r) -> np.ndarray:
+    return image.of_samples(bytes(r.data), r.height, r.width, r.nChannels)
+
+
+def _each(frames: DataFrame, value: Callable[[np.ndarray], object], name: str, kind: str) -> DataFrame:
+    """(clip_id, frame_pos, ``name``) of one kernel over image rows."""
+    ship(frames.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(r.clip_id, r.frame_pos, value(_frame(r))) for r in pdf.itertuples(index=False)]
+            yield pd.DataFrame(out, columns=["clip_id", "frame_pos", name])
+
+    return frames.select("clip_id", "frame_pos", "height", "width", "nChannels", "data").mapInPandas(run, f"clip_id string, frame_pos long, {name} {kind}")
+
+
+def hashed(frames: DataFrame, size: int = 8) -> DataFrame:
+    """(clip_id, frame_pos, frame_hash) of ``size * size`` bits."""
+    if size < 2:
+        raise ValueError("hash size must be at least 2")
+    return _each(frames, lambda f: image.frame_hash(f, size), "frame_hash", "string")
+
+
+def squared(frames: DataFrame, resolution: int) -> DataFrame:
+    """(clip_id, frame_pos, data): the middle square of each frame, resized by area."""
+    return _each(frames, lambda f: image.centre_square(f, resolution).tobytes(), "data", "binary")
+
+
+def jpegs(frames: DataFrame, resolution: int | None = None, quality: int = 85) -> DataFrame:
+    """(clip_id, frame_pos, jpeg) of frames, or of their middle squares."""
+    return _each(frames, lambda f: jpeg.encode(f if resolution is None else image.centre_square(f, resolution), quality), "jpeg", "binary")
+
+
+def signatures(frames: DataFrame) -> DataFrame:
+    """(clip_id, signature): SHA-1 over shapes and channel means of a clip's frames in order."""
+    parts = _each(frames, image.signature_part, "part", "binary")
+    ordered = F.array_sort(F.collect_list(F.struct("frame_pos", "part")))
+    return parts.groupBy("clip_id").agg(ordered.alias("parts")).select("clip_id", F.sha1(F.aggregate("parts", F.lit(bytearray()), lambda a, x: F.concat(a, x["part"]))).alias("signature"))
+
+
+def content_scores(frames: DataFrame) -> DataFrame:
+    """(video, i, v) of image rows: change of colour against the frame before, 0 for the first.
+
+    A frame of another size than the one before has no score.
+    """
+    ship(frames.sparkSession)
+    w = Window.partitionBy("clip_id").orderBy("frame_pos")
+    same = (F.lag("height").over(w) == F.col("height")) & (F.lag("width").over(w) == F.col("width")) & (F.lag("nChannels").over(w) == F.col("nChannels"))
+    pairs = frames.select("clip_id", "frame_pos", "height", "width", "nChannels", "data", F.when(same, F.lag("data").over(w)).alias("before"), F.row_number().over(w).alias("place"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                old = None if r.before is None else image.of_samples(bytes(r.before), r.height, r.width, r.nChannels)
+                out.append((r.clip_id, r.frame_pos, 0.0 if r.place == 1 else None if old is None else image.content_change(old, _frame(r))))
+            yield pd.DataFrame(out, columns=["video", "i", "v"]).astype({"v": "float64"})
+
+    return pairs.mapInPandas(run, "video string, i long, v double")
+
+
+def head_weights(path: str, variant: str) -> tuple[list[float], float]:
+    """Weights and bias of a linear head stored as JSON or NumPy archive, checked against the variant's size.
+
+    Names may stand below ``state_dict`` and carry a ``linear.`` or ``model.`` prefix.
+    """
+    if variant not in fixed.HEAD_SIZES:
+        raise ValueError(f"unknown head variant: {variant}; one of {', '.join(sorted(fixed.HEAD_SIZES))}")
+    if path.endswith(".npz"):
+        with np.load(path) as z:
+            state = {k: z[k] for k in z.files}
+    else:
+        state = json.loads(Path(path).read_text(encoding="utf-8"))
+        state = state.get("state_dict", state) if isinstance(state, dict) else state
+    if not isinstance(state, dict):
+        raise ValueError("a head holds named weights")
+    state = {k.removeprefix("linear.").removeprefix("model."): v for k, v in state.items()}
+    weight, bias = (np.asarray(state[k], np.float64).ravel() if k in state else None for k in ("weight", "bias"))
+    if weight is None or bias is None or len(weight) != fixed.HEAD_SIZES[variant] or len(bias) != 1:
+        raise ValueError(f"the head isn't one of {fixed.HEAD_SIZES[variant]} weights and a bias")
+    return weight.tolist(), float(bias[0])
+
+
 SCORERS = ("none", "heuristic", "clip", "laion", "laion-aesthetic")
 DETECTORS = ("none", "proxy", "easyocr", "tesseract")
 
@@ -127,6 +213,8 @@ def aesthetic_scorer(provider: str, **args) -> Callable[[DataFrame], DataFrame]
     if name == "heuristic":
         return lambda f: f.groupBy("clip_id").agg(F.median(heuristic_aesthetic(F.col("blur"), F.col("brightness"), F.col("colorfulness"))).alias("aesthetic_score"))
     if name in ("laion", "laion-aesthetic"):
+        if "weights" not in args:
+            args["weights"], args["bias"] = head_weights(args["head_path"], args.get("head_variant", "vit_b_32"))
         return lambda f: linear_head(f, args["weights"], args.get("bias", 0.0))
     if name == "clip":
         return lambda f: two_prompts(f, args["good"], args["bad"], args.get("scale", 100.0))

@@ -14,9 +14,10 @@ def cuts(scores: DataFrame, cfg: SceneSplitConfig = SceneSplitConfig()) -> DataF
     if cfg.detector != "content":
         raise ValueError(f"unsupported detector: {cfg.detector}")
     gap = cfg.min_scene_len_frames
-    ordered = scores.groupBy("video").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("s"))
+    # Only frames that could be cuts are gathered; the rest leave a null, which isn't collected.
+    ordered = scores.groupBy("video").agg(F.array_sort(F.collect_list(F.when(F.col("v") >= cfg.threshold, F.col("i").cast("bigint")))).alias("s"))
     fold = f"""aggregate(s, named_struct('last', cast({-gap} as bigint), 'cuts', cast(array() as array<bigint>)),
-        (a, x) -> if(x.v >= {cfg.threshold!r}D and x.i - a.last >= {gap}, named_struct('last', cast(x.i as bigint), 'cuts', array_append(a.cuts, cast(x.i as bigint))), a), a -> a.cuts)"""
+        (a, i) -> if(i - a.last >= {gap}, named_struct('last', i, 'cuts', array_append(a.cuts, i)), a), a -> a.cuts)"""
     return ordered.select("video", F.expr(fold).alias("cuts"))
 
 

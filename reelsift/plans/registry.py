@@ -491,4 +491,100 @@ def export_metadata(spark, sf):
     return export.metadata(frames)
 
 
+# --- pixel kernels over image rows --------------------------------------------------------
+
+_B, _G, _RED = ([f"gray[{3 * i + c + 1}]" for i in range(16)] for c in range(3))
+_LIST = lambda items: "[" + ", ".join(items) + "]"
+_LUMA = _LIST([f"floor(0.114 * {b} + 0.587 * {g} + 0.299 * {r} + 0.5)" for b, g, r in zip(_B, _G, _RED)])
+_RG = _LIST([f"abs({r} - {g})" for g, r in zip(_G, _RED)])
+_YB = _LIST([f"abs(0.5 * ({r} + {g}) - {b})" for b, g, r in zip(_B, _G, _RED)])
+
+
+@query(f"""with {_FRAMES}, v as (select clip_id, frame_pos, gray[1:48] px, {_LUMA} y, {_RG} rg, {_YB} yb from f)
+ select clip_id, frame_pos, round(list_avg(y), 6) brightness, round(list_stddev_pop(y), 6) contrast, round(list_avg(px), 6) mean_pixel,
+ round(sqrt(list_var_pop(rg) + list_var_pop(yb)) + 0.3 * sqrt(list_avg(rg) * list_avg(rg) + list_avg(yb) * list_avg(yb)), 4) colorfulness from v""")
+def image_metrics(spark, sf):
+    m = measures.measured(fixtures.image_rows(spark, sf, 4, 4, 3)).withColumn("colorfulness", F.round("colorfulness", 4))
+    return _rounded(m.select("clip_id", "frame_pos", "brightness", "contrast", "mean_pixel", "colorfulness"), "clip_id", "frame_pos")
+
+
+@query(f"with {_FRAMES}, v as (select clip_id, avg(list_avg(gray[1:48])) m from f group by clip_id) select clip_id, round(m, 6) mean_pixel from v")
+def clip_mean_pixel(spark, sf):
+    m = measures.measured(fixtures.image_rows(spark, sf, 4, 4, 3))
+    return m.groupBy("clip_id").agg(F.round(F.avg("mean_pixel"), 6).alias("mean_pixel"))
+
+
+_CELL = lambda at: f"floor(({' + '.join(f'gray[{i + 1}]' for i in at)}) / 4 + 0.5)"
+_SMALL = _LIST([_CELL([y * 8 + x for y in (2 * i, 2 * i + 1) for x in (2 * j, 2 * j + 1)]) for i in range(4) for j in range(4)])
+
+
+@query(f"""with {_FRAMES}, v as (select clip_id, frame_pos, {_SMALL} p from f), b as (select clip_id, frame_pos, list_transform(p, lambda x: case when x >= list_median(p) then 1 else 0 end) b from v)
+ select clip_id, frame_pos, {' || '.join(f"printf('%x', 8 * b[{4 * i + 1}] + 4 * b[{4 * i + 2}] + 2 * b[{4 * i + 3}] + b[{4 * i + 4}])" for i in range(4))} frame_hash from b""")
+def frame_hash_resized(spark, sf):
+    return measures.hashed(fixtures.image_rows(spark, sf, 8, 8, 1), 4)
+
+
+_MIDDLE = " || ".join(f"printf('%02X', cast({_CELL([y * 16 + 6 + x for y in (2 * i, 2 * i + 1) for x in (2 * j, 2 * j + 1)])} as int))" for i in range(2) for j in range(2))
+
+
+@query(f"with {_FRAMES} select clip_id, frame_pos, {_MIDDLE} pixels from f")
+def centre_square(spark, sf):
+    return measures.squared(fixtures.image_rows(spark, sf, 4, 16, 1), 2).select("clip_id", "frame_pos", F.hex("data").alias("pixels"))
+
+
+@query()
+def text_area_proxy(spark, sf):
+    return measures.measured(fixtures.image_rows(spark, sf, 8, 8, 1)).select("clip_id", "frame_pos", "text_area")
+
+
+@query()
+def frame_data_urls(spark, sf):
+    return captioning.key_frame_urls(fixtures.image_rows(spark, sf, 4, 4, 3), 4).select("clip_id", F.size("urls").alias("n"), F.sha1(F.array_join("urls", " ")).alias("urls_sha1"))
+
+
+@query()
+def frame_signature(spark, sf):
+    return measures.signatures(fixtures.image_rows(spark, sf, 4, 4, 3))
+
+
+@query()
+def content_scores(spark, sf):
+    return measures.content_scores(fixtures.image_rows(spark, sf, 4, 4, 3))
+
+
+# --- manifest files and rows -----------------------------------------------------------------
+
+
+@query(f"with {_CLIPS} select clip_id, count(*) n from (select * from c union all select * from c where keep) group by clip_id")
+def manifest_append(spark, sf):
+    path = scratch.folder(spark, "appended")
+    manifest.write_manifest(_clips(spark, sf), path)
+    manifest.append_manifest(_clips(spark, sf).filter("keep"), path)
+    return manifest.read_manifest(spark, path).groupBy("clip_id").agg(F.count("*").alias("n"))
+
+
+@query(f"with {_CLIPS} select clip_id, blur_score, keep from c")
+def manifest_json_lines(spark, sf):
+    lines = manifest.to_json_lines(_clips(spark, sf))
+    return lines.select(F.from_json("value", "clip_id string, blur_score double, keep boolean").alias("r")).select("r.*")
+
+
+@query(f"with {_CLIPS} select clip_id, width, cast(to_json(r) as varchar) reject_reasons from c")
+def manifest_csv(spark, sf):
+    path = f"{scratch.folder(spark, 'csv')}/rows"
+    manifest.to_csv_rows(_clips(spark, sf)).select("clip_id", "width", "reject_reasons").write.option("header", True).option("escape", '"').csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema("clip_id string, width int, reject_reasons string").csv(path)
+
+
+@query()
+def caption_token_ids(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return docs.select("doc_id", F.array_join(F.transform(text.caption_tokens(F.col("text")), lambda x: x.cast("string")), " ").alias("ids"))
+
+
+@query(f"select {_q(training.LoraCommand(output_dir='out put').shell())} as command")
+def lora_command(spark, sf):
+    return spark.createDataFrame([(training.LoraCommand(output_dir="out put").shell(),)], "command string")
+
+
 ORACLES.update(_BODIES)

@@ -54,3 +54,9 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, "embeddings", FRAMES_SPARK)
+
+
+def image_rows(spark: SparkSession, sf_dir: str, height: int, width: int, channels: int) -> DataFrame:
+    """The first samples of each frame's grey values as image rows (clip_id, frame_pos, height, width, nChannels, data)."""
+    samples = f"unhex(array_join(transform(slice(gray, 1, {height * width * channels}), x -> lpad(hex(cast(x as int)), 2, '0')), ''))"
+    return frames(spark, sf_dir).selectExpr("clip_id", "frame_pos", f"{height} height", f"{width} width", f"{channels} nChannels", f"{samples} data")

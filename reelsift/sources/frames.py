@@ -15,6 +15,8 @@ from reelsift.sources.manifest import list_videos
 
 #: Of a session, a folder, frames a clip and a rate: files (clip_id, source_path), image rows, metadata.
 Decoder = Callable[[SparkSession, str, int, float], tuple[DataFrame, DataFrame, DataFrame]]
+#: Count of frames a clip that stands for all of them.
+EVERY = 1 << 30
 
 
 def duration(frame_count, fps):
@@ -36,7 +38,7 @@ def image_folders(spark: SparkSession, folder: str, count: int, fps: float = 24.
     first = lambda c: F.min_by(c, "frame_pos").alias(c)
     meta = rows.groupBy("clip_id", "source_path").agg(F.count("*").cast("int").alias("frame_count"), first("width"), first("height")).withColumn("fps", F.lit(float(fps)))
     meta = meta.withColumn("duration_sec", duration(F.col("frame_count"), F.col("fps")))
-    kept = selected_frames(rows, count) if count > 0 else rows.limit(0)
+    kept = rows if count >= EVERY else selected_frames(rows, count) if count > 0 else rows.limit(0)
     return meta.select("clip_id", "source_path"), kept.select("clip_id", "frame_pos", "height", "width", "nChannels", "data"), meta.drop("source_path")
 
 

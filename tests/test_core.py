@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelsift import cli, fixed, schema
-from reelsift.functions import hashing, image, text
-from reelsift.operators import captioning, dedupe, export, gates, measures, report, review, scenes, training
+from reelsift.functions import hashing, image, jpeg, text
+from reelsift.operators import captioning, dedupe, export, gates, measures, report, review, scenes, training, two_tower
 from reelsift.schema import AppConfig, QualityConfig, SceneSplitConfig, config_from
-from reelsift.sources import fixtures, frames, manifest
+from reelsift.sources import fixtures, frames, manifest, uploads
 from reelsift.streaming import append
 
 
@@ -359,3 +359,149 @@ def test_stream_replay_and_anchors(spark, tmp_path):
         append.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), threshold=4).awaitTermination()
     got = {r.clip_id: r.duplicate_of for r in spark.read.json(str(tmp_path / "out")).collect()}
     assert got == {"a": None, "b": None, "c": "a", "d": None, "e": "d", "f": "a"}
+
+
+def grads(loss, p, name, at, step=1e-5):
+    out = []
+    for sign in (1, -1):
+        q = {k: v.copy() for k, v in p.items()}
+        q[name][at] += sign * step
+        out.append(loss(q))
+    return (out[0] - out[1]) / (2 * step)
+
+
+def test_two_towers_learn_and_have_true_gradients(spark):
+    cfg = two_tower.TwoTowerConfig(samples=24, batch_size=8, epochs=12, feature_dim=16, vocab_size=64, tokens=6, hidden_dim=10, embedding_dim=5, learning_rate=0.02)
+    rng = np.random.default_rng(1)
+    x, t, p = rng.random((7, 16)), rng.integers(0, 64, (7, 6)), two_tower.parameters(cfg)
+    _, g = two_tower.loss(p, x, t)
+    for name, at in (("w1", (3, 2)), ("b1", 4), ("w2", (1, 3)), ("b2", 0), ("words", (int(t[0, 0]), 5)), ("gain", 2), ("shift", 3), ("w3", (2, 2)), ("b3", 1), ("scale", 0)):
+        assert abs(grads(lambda q: two_tower.loss(q, x, t)[0], p, name, at) - g[name][at]) < 1e-6, name
+    rows = manifest.synthetic_rows(spark, 30)
+    report, q = two_tower.train(rows, cfg)
+    fx, ft = two_tower.inputs(rows, cfg)
+    assert (report["samples"], report["steps"]) == (24, 36)
+    assert two_tower.loss(q, fx[:8], ft[:8])[0] < two_tower.loss(two_tower.parameters(cfg), fx[:8], ft[:8])[0]
+
+
+def test_jpeg_is_read_back(spark, tmp_path):
+    y, x = np.mgrid[:70, :93]
+    frames_ = {"colour": np.stack([x * 2 % 230, y * 3 % 230, x + y], -1), "grey": np.sin(x / 5.0) * 100 + 128, "noise": np.random.default_rng(0).integers(0, 256, (9, 40, 3)), "dot": np.full((1, 1, 3), 200), "flat": np.zeros((16, 16, 3))}
+    frames_ = {k: v.astype(np.uint8) for k, v in frames_.items()}
+    (tmp_path / "j").mkdir()
+    for k, v in frames_.items():
+        (tmp_path / "j" / f"{k}.jpg").write_bytes(jpeg.encode(v, 95))
+    got = {r.image.origin.rsplit("/", 1)[1][:-4]: r.image for r in spark.read.format("image").load(str(tmp_path / "j")).collect()}
+    for k, v in frames_.items():
+        back = image.of_samples(bytes(got[k].data), got[k].height, got[k].width, got[k].nChannels)
+        assert back.shape == v.shape and np.abs(back.astype(int) - v).mean() < (4 if k == "noise" else 1.5), k
+
+
+def test_hues_and_content_scores(spark):
+    import colorsys
+
+    px = np.random.default_rng(3).integers(0, 256, (20, 20, 3)).astype(np.uint8)
+    for (b, g, r), (h, s, v) in zip(px.reshape(-1, 3).tolist(), image.hsv(px).reshape(-1, 3).tolist()):
+        a = colorsys.rgb_to_hsv(r / 255, g / 255, b / 255)
+        assert abs(a[0] * 180 - h) % 180 <= 0.51 or abs(a[0] * 180 - h) > 179.4
+        assert abs(a[1] * 255 - s) <= 0.51 and max(b, g, r) == v
+    red, blue = np.zeros((4, 4, 3), np.uint8), np.zeros((4, 4, 3), np.uint8)
+    red[..., 2], blue[..., 0] = 255, 255
+    rows = [("a", i, 4, 4, 3, bytearray(f.tobytes())) for i, f in enumerate([red, red, blue, blue])] + [("a", 4, 2, 2, 1, bytearray(4))]
+    df = spark.createDataFrame(rows, "clip_id string, frame_pos long, height int, width int, nChannels int, data binary")
+    assert [r.v for r in measures.content_scores(df).orderBy("i").collect()] == [0.0, 0.0, 40.0, 0.0, None]
+    cfg = SceneSplitConfig(threshold=30.0, min_scene_len_frames=2)
+    assert scenes.cuts(measures.content_scores(df), cfg).first().cuts == [2]
+    assert measures.signatures(df).first().signature == image.frame_signature([red, red, blue, blue, np.zeros((2, 2), np.uint8)])
+    assert measures.measured(df).count() == 5
+
+
+def test_head_weights(tmp_path):
+    path = str(tmp_path / "h.npz")
+    np.savez(path, **{"linear.weight": np.arange(512.0)[None], "linear.bias": np.array([2.0])})
+    w, b = measures.head_weights(path, "vit_b_32")
+    assert len(w) == 512 and w[3] == 3.0 and b == 2.0
+    (tmp_path / "h.json").write_text(json.dumps({"state_dict": {"weight": [0.0] * 768, "bias": [1.0]}}))
+    assert measures.head_weights(str(tmp_path / "h.json"), "vit_l_14")[1] == 1.0
+    for variant in ("vit_b_32", "other"):
+        with pytest.raises(ValueError):
+            measures.head_weights(str(tmp_path / "h.json"), variant)
+
+
+def test_remote_captions(spark, tmp_path, monkeypatch):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    seen, reply = [], {"choices": [{"message": {"content": "Caption: A red car."}}]}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            bad = self.path == "/bad"
+            self.send_response(500 if bad else 200)
+            self.end_headers()
+            self.wfile.write(b"broken" if bad else json.dumps({} if self.path == "/odd" else reply).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    (tmp_path / "s.json").write_text('{"GROQ_API_KEY": "k"}')
+    monkeypatch.delenv("GROQ_API_KEY", raising=False)
+    with pytest.raises(ValueError, match="GROQ_API_KEY"):
+        captioning.chat({"provider": "groq"})
+    sent, most = captioning.chat({"provider": "groq", "base_url": f"{base}/ok", "max_keyframes": 9}, str(tmp_path / "s.json"))
+    assert most == 3
+    clips = spark.createDataFrame([("a", '[{"role":"user","content":"hi"}]')], "clip_id string, messages string")
+    assert captioning.captioned(clips, "groq", sent).first().caption == "A red car."
+    assert seen[0][0] == "Bearer k" and seen[0][1]["temperature"] == 0.2 and seen[0][1]["max_completion_tokens"] == 220
+    for path, told in (("bad", "500 broken"), ("odd", "unexpected answer")):
+        with pytest.raises(RuntimeError, match=told):
+            captioning.chat({"provider": "openai", "api_key": "x", "base_url": f"{base}/{path}"})[0]("[]")
+    server.shutdown()
+
+    class Short:
+        def batch(self, messages):
+            return ["one"]
+
+    assert captioning.answers(Short(), ["m"]) == ["one"]
+    with pytest.raises(ValueError, match="another number"):
+        captioning.answers(Short(), ["m", "n"])
+
+
+def test_uploads_fail_one_by_one(spark, tmp_path):
+    def decode(data):
+        side = data[0]
+        return [np.frombuffer(data[1:], np.uint8).reshape(side, side)]
+
+    staged = uploads.stage([("a.MOV", bytes([2, 1, 2, 3, 4])), ("bad", b"\x03xx"), ("../c.mp4", b"")], str(tmp_path / "up"))
+    assert [p.rsplit(".", 1)[1] for _, p in staged] == ["mov", "mp4", "mp4"] and all(p.startswith(str(tmp_path / "up")) for _, p in staged)
+    good, bad = uploads.split(uploads.decoded(spark, staged, decode))
+    assert [(r.source_path, r.height, bytes(r.data)) for r in good.collect()] == [(staged[0][1], 2, bytes([1, 2, 3, 4]))]
+    assert {r.name for r in bad.collect()} == {"bad", "../c.mp4"} and uploads.decoded(spark, [], decode).isEmpty()
+
+
+def test_scenes_and_images_from_folders(spark, tmp_path):
+    for clip, n in (("one", 6), ("two", 1)):
+        (tmp_path / "in" / clip).mkdir(parents=True)
+        for i in range(n):
+            f = np.zeros((20, 30, 3), np.uint8)
+            f[..., 0 if i < 3 else 2] = 250
+            (tmp_path / "in" / clip / f"{i}.jpg").write_bytes(jpeg.encode(f, 95))
+    (tmp_path / "c.json").write_text('{"scene_split": {"min_scene_len_frames": 2}}')
+    cli.main(["split-scenes", str(tmp_path / "in"), "--config", str(tmp_path / "c.json"), "--output", str(tmp_path / "s")])
+    got = spark.read.json(str(tmp_path / "s")).orderBy("video", "scene_index").collect()
+    assert [(r.video.rsplit("/", 1)[1], r.start_sec, r.end_sec) for r in got] == [("one", 0.0, 0.125), ("one", 0.125, 0.25), ("two", 0.0, 1 / 24)]
+    rows = [base_row(i, source_path=str(tmp_path / "in" / name)) for i, name in enumerate(("one", "two"))]
+    (tmp_path / "in" / "three").mkdir()  # there, but without frames
+    p = write_rows(tmp_path / "m.jsonl", [*rows, base_row(2, source_path=str(tmp_path / "in" / "three"))])
+    cli.main(["prepare-diffusion-lora-data", p, "--frames", str(tmp_path / "in"), "--frames-per-clip", "2", "--resolution", "16", "--output-dir", str(tmp_path / "d"), "--report", str(tmp_path / "p.md"), "--json-report", str(tmp_path / "p.json")])
+    report_ = json.loads((tmp_path / "p.json").read_text())
+    assert (report_["image_count"], report_["source_clip_count"], report_["skipped_clip_count"]) == (3, 3, 1)
+    named = {r.file_name for r in spark.read.json(str(tmp_path / "d" / "metadata")).collect()}
+    assert named == {f"images/{p.name}" for p in (tmp_path / "d" / "images").iterdir()} == {"images/c0_000.jpg", "images/c0_001.jpg", "images/c1_000.jpg"}
+    assert {r.image.width for r in spark.read.format("image").load(str(tmp_path / "d" / "images")).collect()} == {16}
+    cli.main(["benchmark-training", "--real", "--samples", "40", "--output", str(tmp_path / "t.json"), "--markdown-output", str(tmp_path / "t.md")])
+    assert json.loads((tmp_path / "t.json").read_text())["final_loss"] > 0
