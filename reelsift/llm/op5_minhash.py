@@ -6,9 +6,9 @@
 2. Empty buckets are filled by a fixed probing order (for banding alone) and the
    registers are cut into bands; a shared band makes a candidate.
 3. Texts with equal word sequences are one node, of the smallest id.
-4. Within a band's bucket each row meets one hub instead of every other row; what
-   stays unconnected meets the rest of its bucket in blocks, inside one Python
-   function that keeps only pairs whose collision-corrected estimate is close.
+4. Within a band's bucket each row meets one hub instead of every other row; rows
+   outside the bucket's largest class then meet the rest of it in blocks, inside one
+   Python function that keeps only pairs whose collision-corrected estimate is close.
 5. Pairs that remain are confirmed on the full sets of both texts.
 
 Edge cases: null or blank text has an empty set and is linked with nothing;
@@ -309,20 +309,34 @@ class NearDuplicates:
         return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
     def rest(self, live: DataFrame, links: DataFrame, comps: DataFrame | None) -> DataFrame | None:
-        """Meets every pair of a bucket that hubs left in different components."""
+        """Meets every pair of a bucket that hubs left in different components.
+
+        Such a pair has a row outside the bucket's largest component.  Blocks of the
+        largest one meet blocks of the others, and blocks of the others each other, so
+        that rows of the largest are copied once a block of outsiders, not once a block.
+        """
         t = self.t
         rows = self.with_components(live.select("band", "id"), comps)
-        mixed = rows.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("band", "size")
-        rows = rows.join(mixed, "band").withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least("mine", k).alias("x"), F.greatest("mine", k).alias("y")))
-        rows = rows.withColumn("pair", F.explode(others))
-        side = F.when(F.col("pair.x") == F.col("pair.y"), 2).when(F.col("mine") == F.col("pair.x"), 0).otherwise(1)
-        rows = rows.select("band", (F.col("pair.x") * F.lit(1 << 31) + F.col("pair.y")).alias("block"), "id", "comp", side.alias("side"))
+        parts = rows.groupBy("band", "comp").agg(F.count("*").alias("size"))
+        mixed = parts.groupBy("band").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("size")).filter("top.size < size")
+        blocks = lambda n: F.ceil(n / BLOCK)
+        mixed = mixed.select("band", F.col("top.comp").alias("largest"), blocks(F.col("top.size")).alias("inside"), blocks(F.col("size") - F.col("top.size")).alias("outside"))
+        rows = rows.join(mixed, "band").withColumn("main", F.col("comp") == F.col("largest"))
+        rows = rows.withColumn("mine", F.pmod(F.xxhash64("id"), F.when(F.col("main"), F.col("inside")).otherwise(F.col("outside"))))
+        each = lambda n, f: F.transform(F.sequence(F.lit(0).cast("long"), F.col(n) - 1), f)
+        cell = lambda kind, x, y, side: F.struct((F.lit(kind << 61) + x * F.lit(1 << 30) + y).alias("block"), side.cast("int").alias("side"))
+        mine = F.col("mine")
+        of_main = each("outside", lambda k: cell(0, mine, k, F.lit(0)))
+        to_main = each("inside", lambda k: cell(0, k, mine, F.lit(1)))
+        apart = each("outside", lambda k: cell(1, F.least(mine, k), F.greatest(mine, k), F.when(mine == k, 2).when(mine < k, 0).otherwise(1)))
+        rows = rows.withColumn("cell", F.explode(F.when(F.col("main"), of_main).otherwise(F.concat(to_main, apart))))
+        rows = rows.select("band", "cell.block", "id", "comp", "cell.side")
         rows = rows.join(self.reps.select("id", "n", "regs"), "id")
         near = rows.repartition("band", "block").sortWithinPartitions("band", "block").select("band", "block", "id", "comp", "side", "n", "regs").mapInArrow(_within_bucket(self.near), "a long, b long, est double")
         near = t.cut(near, "rest-near")
         if near.isEmpty():
             return comps
+        met = None
         for turn in ("best", "all"):
             todo = near.withColumn("ca", F.col("a")).withColumn("cb", F.col("b"))
             if comps is not None:
@@ -331,7 +345,10 @@ class NearDuplicates:
                 todo = near.join(here, "a", "left").join(there, "b", "left").withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b")).filter("ca <> cb")
             if turn == "best":  # for each two components their closest pair first
                 todo = todo.groupBy(F.least("ca", "cb"), F.greatest("ca", "cb")).agg(F.max(F.struct("est", "a", "b")).alias("p")).select("p.a", "p.b")
-            todo = t.cut(todo.select("a", "b"), f"rest-{turn}")
+            todo = todo.select("a", "b")
+            if met is not None:  # confirmed or refused already
+                todo = todo.join(met, ["a", "b"], "left_anti")
+            todo = met = t.cut(todo, f"rest-{turn}")
             if todo.isEmpty():
                 break
             new = self.confirmed(todo, f"rest-{turn}")

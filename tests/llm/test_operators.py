@@ -317,6 +317,27 @@ def test_op5_matches_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+@pytest.mark.parametrize("hub_rounds", [0, 1])
+def test_op5_blocks_lose_no_link(spark, monkeypatch, hub_rounds):
+    """Buckets of several classes, cut into blocks of three rows, after few or no hub rounds."""
+    monkeypatch.setattr(op5_minhash, "BLOCK", 3)
+    monkeypatch.setattr(op5_minhash, "HUB_ROUNDS", hub_rounds)
+    rng, texts = random.Random(31), []
+    base = [f"w{i}" for i in range(300)]
+    for family in range(4):  # families share most words, so that their bands meet, but aren't linked
+        kin = list(base)
+        for k in rng.sample(range(300), 14):
+            kin[k] = f"f{family}k{k}"
+        for _ in range(9):
+            w = list(kin)
+            w[rng.randrange(300)] = f"x{rng.random()}"
+            texts.append(" ".join(w))
+    want = brute_classes(texts)
+    assert 1 < len({c for _, c in want}) < 12
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in op5_minhash.near_duplicates(spark, table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_op5_stage_links_from_80_percent(spark):
     rng, texts = random.Random(15), []
     shingles = lambda t: set(zip(*(t.lower().split()[k:] for k in range(5))))
