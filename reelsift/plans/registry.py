@@ -291,8 +291,9 @@ def clip_hash_majority(spark, sf):
 
 @query(f"with {_HASHED}, h as (select vec_id, cast(bits as bit) h from b) select x.vec_id u, y.vec_id v, cast(bit_count(xor(x.h, y.h)) as int) distance from h x join h y on x.vec_id < y.vec_id and bit_count(xor(x.h, y.h)) <= {HASH_LIMIT}")
 def hamming_pairs(spark, sf):
-    rows = _hashes(spark, sf).select("row_pos", hashing.as_long(F.col("perceptual_hash")).alias("h"))
-    firsts = rows.groupBy("h").agg(F.min("row_pos").alias("pos"))
+    base = scratch.folder(spark, "hamming")
+    rows = scratch.cut(_hashes(spark, sf).select("row_pos", hashing.as_long(F.col("perceptual_hash")).alias("h")), f"{base}/rows")
+    firsts = scratch.cut(rows.groupBy("h").agg(F.min("row_pos").alias("pos")), f"{base}/firsts")
     close = dedupe.close_pairs(firsts, HASH_LIMIT)
     heads = rows.join(firsts, "h").select("row_pos", "pos")
     a, b = heads.withColumnsRenamed({"row_pos": "x", "pos": "u"}), heads.withColumnsRenamed({"row_pos": "y", "pos": "v"})

@@ -530,3 +530,19 @@ def test_many_bits_compare_directly(spark, tmp_path):
     near = sorted(map(tuple, dedupe.near_anchors(table, 18, str(tmp_path / "a"), scanned=16).collect()))
     assert near == sorted(map(tuple, dedupe._joined_anchors(table, 18, str(tmp_path / "b"), 4).collect()))
     assert dedupe.duplicate_pairs(df.filter("false"), 18).isEmpty() and dedupe.close_pairs(table.filter("false"), 18).isEmpty()
+
+
+def test_hamming_pairs_with_copies(spark, tmp_path, monkeypatch):
+    """All pairs of rows, copies among them, from direct comparison."""
+    from reelsift.plans.registry import HASH_LIMIT, QUERIES
+
+    direct, calls = dedupe.compared, []
+    monkeypatch.setattr(dedupe, "compared", lambda *a: calls.append(a) or direct(*a, block=40))
+    rng = random.Random(9)
+    base = [[rng.uniform(-1, 1) for _ in range(64)] for _ in range(5)]
+    rows = [(i, [x + rng.gauss(0, 0.2) for x in base[i % 5]]) for i in range(110)]
+    rows += [(110 + i, v) for i, (_, v) in enumerate(rows[:10])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    hashes = {int(r.clip_id): int(r.perceptual_hash, 16) for r in QUERIES["frame_hash"](spark, str(tmp_path)).collect()}
+    want = sorted((i, j, d) for i, j in itertools.combinations(sorted(hashes), 2) if (d := (hashes[i] ^ hashes[j]).bit_count()) <= HASH_LIMIT)
+    assert sorted(map(tuple, QUERIES["hamming_pairs"](spark, str(tmp_path)).collect())) == want and calls
