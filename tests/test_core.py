@@ -546,3 +546,15 @@ def test_hamming_pairs_with_copies(spark, tmp_path, monkeypatch):
     hashes = {int(r.clip_id): int(r.perceptual_hash, 16) for r in QUERIES["frame_hash"](spark, str(tmp_path)).collect()}
     want = sorted((i, j, d) for i, j in itertools.combinations(sorted(hashes), 2) if (d := (hashes[i] ^ hashes[j]).bit_count()) <= HASH_LIMIT)
     assert sorted(map(tuple, QUERIES["hamming_pairs"](spark, str(tmp_path)).collect())) == want and calls
+
+
+def test_marks_need_no_pairs_of_near_copies(spark, monkeypatch):
+    """Marks of many near copies come from comparing rows with anchors alone."""
+    monkeypatch.setattr(dedupe, "close_pairs", lambda *a: pytest.fail("all pairs of near copies are listed"))
+    rng = random.Random(3)
+    centres = [rng.getrandbits(64) for _ in range(3)]
+    hashes = [rng.choice(centres) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 12))) for _ in range(150)]
+    rows = [(i, f"c{i}", f"{h:016x}", True, []) for i, h in enumerate(hashes)] + [(150, "none", None, True, []), (151, "bad", "", True, [])]
+    df = spark.createDataFrame(rows, "row_pos long, clip_id string, perceptual_hash string, keep boolean, reject_reasons array<string>")
+    got = {r.clip_id: r.duplicate_of for r in dedupe.mark_duplicates(df, 18).collect() if not r.keep}
+    assert got == {f"c{i}": f"c{a}" for i, a, _ in leaders(hashes, 18)}
